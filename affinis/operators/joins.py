@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is cut into blocks of about this many rows.
-ROWS_PER_BLOCK = 50_000
+# A key with more rows than this is cut into blocks of about this many rows, so that one
+# cell of the grid makes at most about the square of it in row pairs.
+ROWS_PER_BLOCK = 20_000
 
 
-def _hot_keys(df: DataFrame, on: list[str], rows_per_block: int, blocks: str) -> DataFrame:
-    return (
-        df.groupBy(*on)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows_per_block)
-        .select(*on, F.ceil(F.col("_rows") / rows_per_block).cast("int").alias(blocks))
+def _hot_keys(left: DataFrame, right: DataFrame | None, on: list[str], rows_per_block: int) -> DataFrame:
+    """``(on, _nl, _nr)``: block counts of the keys with more than one block on a side."""
+    count = F.count("*")
+    if right is None:
+        sizes = left.groupBy(*on).agg(count.alias("_l")).withColumn("_r", F.col("_l"))
+    else:
+        one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        sides = left.groupBy(*on).agg(count.alias("_l")).withColumn("_r", none).unionByName(
+            right.groupBy(*on).agg(count.alias("_r")).withColumn("_l", none)
+        )
+        sizes = sides.groupBy(*on).agg(F.greatest(one, F.sum("_l")).alias("_l"), F.greatest(one, F.sum("_r")).alias("_r"))
+    return sizes.filter((F.col("_l") > rows_per_block) | (F.col("_r") > rows_per_block)).select(
+        *on,
+        F.ceil(F.col("_l") / rows_per_block).cast("int").alias("_nl"),
+        F.ceil(F.col("_r") / rows_per_block).cast("int").alias("_nr"),
     )
 
 
@@ -33,6 +43,7 @@ def grid_join(
     left_id: str,
     right_id: str,
     rows_per_block: int = ROWS_PER_BLOCK,
+    self_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``on`` for many rows per key on both sides.
 
@@ -41,22 +52,28 @@ def grid_join(
     cell, so the result equals the plain join, and one cell reads at most about
     ``2 * rows_per_block`` rows. Keys that are not hot keep a single cell.
 
-    The hot-key table has at most ``rows / rows_per_block`` rows; Spark picks its join by
-    the measured size.
+    ``self_rows`` says that both sides are the rows of one table, whose keys are then
+    counted once. The hot-key table has at most ``rows / rows_per_block`` rows; Spark picks
+    its join by the measured size. Both sides get all shuffle partitions, because a small
+    input may still make a large join.
     """
-    hot_left = _hot_keys(left, on, rows_per_block, "_nl")
-    hot_right = _hot_keys(right, on, rows_per_block, "_nr")
-    hot = hot_left.join(hot_right, on, "full")
+    hot = _hot_keys(self_rows, None, on, rows_per_block) if self_rows is not None else _hot_keys(
+        left, right, on, rows_per_block
+    )
+    cell = [*on, "_bl", "_br"]
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells_left = (
         left.join(hot, on, "left")
         .withColumn("_bl", _own_block(left_id, "_nl"))
         .withColumn("_br", _every_block("_nr"))
         .drop("_nl", "_nr")
+        .repartition(partitions, *cell)
     )
     cells_right = (
         right.join(hot, on, "left")
         .withColumn("_br", _own_block(right_id, "_nr"))
         .withColumn("_bl", _every_block("_nl"))
         .drop("_nl", "_nr")
+        .repartition(partitions, *cell)
     )
-    return cells_left.join(cells_right, [*on, "_bl", "_br"]).drop("_bl", "_br")
+    return cells_left.join(cells_right, cell).drop("_bl", "_br")

@@ -48,7 +48,8 @@ def pair_stats(
     left = x
     if left_ids is not None:
         left = x.join(left_ids.toDF("id").distinct(), "id", "left_semi")
-    joined = grid_join(side(left, "a"), side(x, "b"), ["key"], "a", "b", rows_per_block)
+    one_table = rows.select(F.col(key).alias("key")) if left_ids is None else None
+    joined = grid_join(side(left, "a"), side(x, "b"), ["key"], "a", "b", rows_per_block, one_table)
     joined = joined.filter(F.col("a") < F.col("b") if left_ids is None else F.col("a") != F.col("b"))
     va, vb = F.col("v_a"), F.col("v_b")
     return joined.groupBy("a", "b").agg(

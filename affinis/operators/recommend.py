@@ -17,6 +17,7 @@ from affinis.operators.pairs import (
     user_means,
 )
 from affinis.operators.topk import above, top_k
+from affinis.session import cut_lineage
 
 # Weights that sum to less than this have no defined mean.
 MIN_WEIGHT = 1e-9
@@ -153,7 +154,10 @@ def item_item_predict(
 def _rated_neighbours(ratings: DataFrame, sims: DataFrame) -> DataFrame:
     """``(user_id, item_id, other, s, r)``: each rating spread to the items similar to it."""
     rated = ratings.select("user_id", F.col("item_id").alias("other"), F.col("rating").alias("r"))
-    table = sims.select(F.col("b").alias("other"), F.col("a").alias("item_id"), F.col("score").alias("s"))
+    # The table is read twice, for its key counts and for the join; it is computed once.
+    table = cut_lineage(
+        sims.select(F.col("b").alias("other"), F.col("a").alias("item_id"), F.col("score").alias("s"))
+    )
     return grid_join(rated, table, ["other"], "user_id", "item_id")
 
 
@@ -216,7 +220,7 @@ def user_neighbours(
 def neighbour_ratings(ratings: DataFrame, neighbours: DataFrame) -> DataFrame:
     """``(user_id, item_id, other, s, r)``: the ratings of each user's neighbours."""
     theirs = ratings.select(F.col("user_id").alias("other"), "item_id", F.col("rating").alias("r"))
-    return grid_join(neighbours, theirs, ["other"], "user_id", "item_id")
+    return grid_join(cut_lineage(neighbours), theirs, ["other"], "user_id", "item_id")
 
 
 def user_based_scores(ratings: DataFrame, neighbours: DataFrame, min_neighbours: int = 2) -> DataFrame:
@@ -247,7 +251,7 @@ def slope_one(ratings: DataFrame, weighted: bool = True, targets: DataFrame | No
     )
     rated = ratings.select("user_id", F.col("item_id").alias("other"), "rating")
     if targets is None:
-        rows = grid_join(rated, diffs, ["other"], "user_id", "item_id")
+        rows = grid_join(rated, cut_lineage(diffs), ["other"], "user_id", "item_id")
     else:
         wanted = targets.select(*PAIR).distinct()
         rows = grid_join(wanted, rated, ["user_id"], "item_id", "other").join(diffs, ["item_id", "other"])
