@@ -29,9 +29,8 @@ def add(a: Column, b: Column) -> Column:
 
 def map_dot(a: Column, b: Column) -> Column:
     """Dot product over shared keys; equal products all count."""
-    return F.aggregate(
-        F.map_keys(a), F.lit(0.0), lambda acc, k: acc + F.try_element_at(a, k) * element(b, k)
-    )
+    products = F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x * y, F.lit(0.0)))
+    return F.aggregate(F.map_values(products), F.lit(0.0), lambda acc, x: acc + x)
 
 
 def map_norm(m: Column) -> Column:

@@ -15,20 +15,20 @@ def parse_map(line: str | Column) -> Column:
     pieces = F.filter(F.split(F.trim(column), " +"), lambda p: p.contains("$"))
     entries = F.transform(
         pieces,
-        lambda p: F.struct(
+        lambda p, i: F.struct(
             F.split_part(p, F.lit("$"), F.lit(1)).alias("key"),
+            i.alias("pos"),
             F.split_part(p, F.lit("$"), F.lit(2)).try_cast("double").alias("weight"),
         ),
     )
-    # Later entries win: map_concat would raise on a repeated key, so keep the last position.
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
-            lambda later: later["key"] == e["key"],
-        ),
+    # Sorted by key and position, the last entry of a key is the one whose successor differs.
+    # The outer transform binds the sorted array once.
+    last = F.transform(
+        F.array(F.array_sort(entries)),
+        lambda s: F.filter(s, lambda e, i: F.coalesce(F.get(s, i + 1)["key"] != e["key"], F.lit(True))),
     )
-    return F.map_from_entries(last)
+    kept = F.transform(F.get(last, F.lit(0)), lambda e: F.struct(e["key"], e["weight"]))
+    return F.map_from_entries(kept)
 
 
 def parse_weighted(lines: DataFrame, id: str, value: str, normalize: bool = False) -> DataFrame:
@@ -90,3 +90,48 @@ def number_lines(spark: SparkSession, path: str, value: str = "value") -> DataFr
 
     lines = spark.read.text(path)
     return dense_positions(lines, "line_no").select("line_no", F.col("value").alias(value))
+
+
+def sparse_rows(encoded: DataFrame, id: str, index: str, value: str) -> DataFrame:
+    """``(id, indices, values)``: one sparse row per id, sorted by index."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(index).cast("int").alias("i"), F.col(value).alias("v"))))
+    return encoded.groupBy(id).agg(pairs.alias("_p")).select(
+        id, F.col("_p.i").alias("indices"), F.col("_p.v").alias("values")
+    )
+
+
+def with_vector(rows: DataFrame, size: int, name: str = "features") -> DataFrame:
+    """Adds an ML vector column to sparse rows, without leaving the JVM."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+
+    fields = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values"
+    )
+    schema = T.StructType([T.StructField("v", VectorUDT())])
+    return rows.withColumn(name, F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"])
+
+
+def export_sparse(
+    labels: DataFrame, vectors: DataFrame, id: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Encoded rows ``(id, label_id, index, value)``, unit length, with both dictionaries.
+
+    ``labels(id, label)`` and ``vectors(id, key, weight)``.
+    """
+    from affinis.operators.dictionary import dictionary, encode
+
+    label_ids = dictionary(labels, "label", "label_id")
+    feature_ids = dictionary(vectors, "key", "index")
+    rows = encode(unit_rows(vectors, id, "weight"), feature_ids, "key")
+    named = encode(labels.select(id, "label"), label_ids, "label")
+    encoded = rows.join(named, id).select(id, "label_id", "index", F.col("weight").alias("value"))
+    return encoded, label_ids, feature_ids
+
+
+def write_sparse(encoded: DataFrame, size: int, path: str, id: str) -> None:
+    """Encoded rows as libsvm text, one line per id."""
+    rows = sparse_rows(encoded, id, "index", "value").join(encoded.select(id, "label_id").distinct(), id)
+    with_vector(rows, size).select(F.col("label_id").cast("double").alias("label"), "features").write.mode(
+        "overwrite"
+    ).format("libsvm").save(path)
