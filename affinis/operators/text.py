@@ -19,6 +19,7 @@ from affinis.functions.text import (
     words,
 )
 from affinis.operators.tfidf import term_counts, tfidf
+from affinis.session import cut_lineage
 
 
 def analyzed_tokens(docs: DataFrame, id: str = "doc_id", stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
@@ -59,7 +60,8 @@ def message_features(messages: DataFrame, id: str = "doc_id") -> DataFrame:
 def bigrams(docs: DataFrame, min_count: int = 2, min_llr: float = 50.0) -> DataFrame:
     """``(first, second, n, llr)``: neighbouring words that come together more than by chance."""
     pairs = docs.select(F.inline(adjacent_pairs(analyze(F.col("text")))))
-    counts = pairs.groupBy("first", "second").agg(F.count("*").alias("n"))
+    # Read four times below: counted once, the texts are analyzed once.
+    counts = cut_lineage(pairs.groupBy("first", "second").agg(F.count("*").alias("n")))
     heads = counts.groupBy("first").agg(F.sum("n").alias("n_first"))
     tails = counts.groupBy("second").agg(F.sum("n").alias("n_second"))
     total = counts.agg(F.sum("n").alias("n")).scalar()
@@ -88,7 +90,10 @@ def term_table(docs: DataFrame, kept_bigrams: DataFrame | None = None, id: str =
 def doc_tfidf(
     counts: DataFrame, docs: DataFrame, id: str = "doc_id", min_df: int = 5, max_df_pct: float = 95.0
 ) -> DataFrame:
-    """Unit TF-IDF rows ``(id, token, weight)`` with ``log(1 + tf)``; N is the number of documents."""
+    """Unit TF-IDF rows ``(id, token, weight)`` with ``log(1 + tf)``; N is the number of documents.
+
+    ``counts`` is read twice and should be a table.
+    """
     n_docs = docs.agg(F.count("*").alias("n")).scalar()
     return tfidf(counts, id, "token", n_docs, min_df, max_df_pct, log_tf=True)
 

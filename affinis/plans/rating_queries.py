@@ -34,7 +34,7 @@ def _sim_sql(by, measure, both=False):
 
 
 def ratings_latest(spark, sf):
-    return V.ratings(spark, sf)
+    return V.latest_ratings(spark, sf)
 
 
 def boolean_prefs(spark, sf):

@@ -9,6 +9,7 @@ from affinis.functions.text import HEADER_NAMES, STOP_WORDS, extension, file_typ
 from affinis.operators import text as X
 from affinis.plans import views as V
 from affinis.plans.sql import define, g2, r6, with_
+from affinis.session import cut_lineage, spread
 from affinis.sources.documents import one_line
 
 
@@ -38,11 +39,11 @@ def bigrams_llr(spark, sf):
 
 def doc_tfidf(spark, sf):
     docs = V.docs(spark, sf)
-    return X.doc_tfidf(X.analyzed_tokens(docs), docs).withColumn("weight", rounded("weight"))
+    return X.doc_tfidf(cut_lineage(X.analyzed_tokens(docs)), V.table(spark, sf, "documents")).withColumn("weight", rounded("weight"))
 
 
 def page_text(spark, sf):
-    return X.extract_pages(V.table(spark, sf, "pages").select("page_id", "html"))
+    return X.extract_pages(spread(V.table(spark, sf, "pages").select("page_id", "html")))
 
 
 def page_title(spark, sf):

@@ -34,13 +34,13 @@ def vector_lines(spark, sf):
 
 
 def doc_vectors(spark, sf):
-    """``(doc_id, key, weight)`` token counts."""
-    counts = X.analyzed_tokens(V.docs(spark, sf))
+    """``(doc_id, key, weight)`` token counts, as a table."""
+    counts = cut_lineage(X.analyzed_tokens(V.docs(spark, sf)))
     return counts.select("doc_id", F.col("token").alias("key"), F.col("n").cast("double").alias("weight"))
 
 
 def doc_labels(spark, sf):
-    return V.docs(spark, sf).select("doc_id", F.col("lang").alias("label"))
+    return V.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label"))
 
 
 def sparse_vectors(spark, sf):
@@ -93,7 +93,7 @@ def artist_dictionary(spark, sf):
 
 def artist_vectors(spark, sf):
     """``(tag, artist_id, weight)``: the summed counts of each tag's artists."""
-    rows = src.artist_tags(V.artist_lines(spark, sf))
+    rows = cut_lineage(src.artist_tags(V.artist_lines(spark, sf)))
     sums = rows.groupBy("tag", "artist").agg(F.sum("weight").alias("weight"))
     return encode(sums, dictionary(rows, "artist", "artist_id"), "artist").select("tag", "artist_id", "weight")
 
@@ -142,7 +142,7 @@ def kmeans_ml(spark, sf):
 def text_clusters(spark, sf):
     """Tokens and collocations, TF-IDF, hashed vectors, canopies, k-means by Tanimoto distance."""
     docs = V.docs(spark, sf)
-    counts = X.term_table(docs, X.bigrams(docs))
+    counts = cut_lineage(X.term_table(docs, X.bigrams(docs)))
     weights = X.doc_tfidf(counts, docs).select(
         F.col("doc_id").alias("id"), F.col("token").alias("feature"), F.col("weight").alias("value")
     )
@@ -154,13 +154,14 @@ def text_clusters(spark, sf):
 
 
 def label_centroids(spark, sf):
-    rows = C.label_centroids(doc_vectors(spark, sf), doc_labels(spark, sf), "doc_id")
+    units = C.unit_vectors(doc_vectors(spark, sf), "doc_id")
+    rows = C.label_centroids(units, doc_labels(spark, sf), "doc_id")
     return rows.withColumn("weight", rounded("weight"))
 
 
 def _tagged(spark, sf):
-    vectors = doc_vectors(spark, sf)
-    return C.autotag(vectors, C.label_centroids(vectors, doc_labels(spark, sf), "doc_id"), "doc_id")
+    units = C.unit_vectors(doc_vectors(spark, sf), "doc_id")
+    return C.autotag(units, C.label_centroids(units, doc_labels(spark, sf), "doc_id"), "doc_id")
 
 
 def autotag_top3(spark, sf):
@@ -192,7 +193,7 @@ def feature_hash(spark, sf):
 def logreg_accuracy(spark, sf):
     messages = V.messages(spark, sf)
     rows = C.hashed_rows(X.message_features(messages), "doc_id", 10_000)
-    labelled = cut_lineage(rows.join(messages.select("doc_id", F.col("lang").alias("label")), "doc_id"))
+    labelled = cut_lineage(rows.join(V.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label")), "doc_id"))
     indexer, model = C.train_logistic(labelled)
     return E.accuracy(C.apply_logistic(labelled, indexer, model), "label", "predicted")
 
@@ -200,7 +201,7 @@ def logreg_accuracy(spark, sf):
 def _labelled_terms(spark, sf):
     labels = V.table(spark, sf, "labels").select("doc_id", "quality")
     docs = V.docs(spark, sf).join(labels, "doc_id")
-    return docs, X.sentence_term_counts(docs, ["doc_id"])
+    return labels, cut_lineage(X.sentence_term_counts(docs, ["doc_id"]))
 
 
 def sentence_vectors(spark, sf):
@@ -212,13 +213,13 @@ def sentence_vectors(spark, sf):
 
 
 def svm_accuracy(spark, sf):
-    docs, terms = _labelled_terms(spark, sf)
+    labels, terms = _labelled_terms(spark, sf)
     ids = dictionary(terms, "term", "index")
     size = ids.count()
     units = C.sentence_vectors(terms, ids, ["doc_id"])
     rows = S.with_vector(S.sparse_rows(encode(units, ids, "term"), "doc_id", "index", "value"), size)
     labelled = cut_lineage(
-        rows.join(docs.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+        rows.join(labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     )
     return E.accuracy(C.train_svm(labelled).transform(labelled), "label", "prediction")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinis.session import cut_lineage, spread
 from affinis.sources.ratings import latest
 
 
@@ -22,6 +23,11 @@ def preference_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ratings as a table: derived once, then read by every part of a query."""
+    return cut_lineage(latest_ratings(spark, sf_dir))
+
+
+def latest_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense ratings: the latest event per (user, item)."""
     rows = preference_events(spark, sf_dir)
     return latest(rows, ["user_id", "item_id"], "rating", ["ts", "event_id"])
@@ -93,7 +99,7 @@ def artist_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

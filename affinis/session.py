@@ -44,9 +44,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer splits than the cluster has cores.
+
+    Such an input is small; one with enough splits is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages read files, so a lost executor costs no recomputation."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """The rows as a Parquet table in the shared folder.
+
+    Later stages read files, so a lost executor costs no recomputation, and the columns and
+    sizes of the table are known to the optimizer.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -46,9 +46,19 @@ def parse_weighted(lines: DataFrame, id: str, value: str, normalize: bool = Fals
     return unit_rows(rows, id, "weight") if normalize else rows
 
 
-def unit_rows(rows: DataFrame, id: str, value: str) -> DataFrame:
-    """Long rows divided by the L2 norm of their id; ids with norm 0 drop out."""
-    norms = rows.groupBy(id).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_norm"))
+def unit_rows(rows: DataFrame, id: str, value: str, many_rows: bool = False) -> DataFrame:
+    """Long rows divided by the L2 norm of their id; ids with norm 0 drop out.
+
+    One shuffle and a window over the rows of an id, which are at most as many as the terms
+    of a document. ``many_rows=True`` is for ids that may hold a large part of the table: norms are
+    then combined before the shuffle and joined back.
+    """
+    squares = F.col(value) * F.col(value)
+    if not many_rows:
+        norm = F.sqrt(F.sum(squares).over(Window.partitionBy(id)))
+        scaled = rows.withColumn("_norm", norm).filter(F.col("_norm") > 0)
+        return scaled.withColumn(value, F.col(value) / F.col("_norm")).drop("_norm")
+    norms = rows.groupBy(id).agg(F.sqrt(F.sum(squares)).alias("_norm"))
     scaled = rows.join(norms.filter(F.col("_norm") > 0), id)
     return scaled.withColumn(value, F.col(value) / F.col("_norm")).drop("_norm")
 
@@ -77,7 +87,7 @@ def save_centroids(centroids: DataFrame, path: str) -> None:
 
 def load_centroids(spark: SparkSession, path: str) -> DataFrame:
     """Centroids of a saved model, unit length again."""
-    return unit_rows(spark.read.parquet(path), "label", "weight")
+    return unit_rows(spark.read.parquet(path), "label", "weight", many_rows=True)
 
 
 def number_lines(spark: SparkSession, path: str, value: str = "value") -> DataFrame:

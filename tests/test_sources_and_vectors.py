@@ -81,6 +81,7 @@ def test_label_centroids_and_tags(spark):
         [(1, "x", 3.0), (1, "y", 4.0), (2, "x", 1.0), (3, "z", 2.0)], "id bigint, key string, weight double"
     )
     labels = spark.createDataFrame([(1, "p"), (2, "p"), (3, "q"), (4, "q")], "id bigint, label string")
+    vectors = C.unit_vectors(vectors, "id")
     cents = C.label_centroids(vectors, labels, "id")
     assert as_dict(cents, ["label", "key"], "weight") == pytest.approx(
         {("p", "x"): 0.8, ("p", "y"): 0.4, ("q", "z"): 1.0}
