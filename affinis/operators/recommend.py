@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinis.operators.dictionary import dictionary
 from affinis.operators.joins import grid_join
 from affinis.operators.pairs import (
     centred,
@@ -16,6 +17,7 @@ from affinis.operators.pairs import (
     similarity_table,
     user_means,
 )
+from affinis.operators.search import HOT_KEY, search_top
 from affinis.operators.topk import above, top_k
 from affinis.session import cut_lineage
 
@@ -29,6 +31,26 @@ def unseen(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
     return candidates.join(ratings.select(*PAIR), PAIR, "left_anti")
 
 
+def associated_items(ratings: DataFrame, n: int, hot_user: int = HOT_KEY) -> DataFrame:
+    """Top ``n`` items per item by the share of its users who have the other item too.
+
+    Equals ``similar_items`` with basic association, but builds no table of all pairs: users with
+    more than ``hot_user`` items do not spread into item pairs, see ``search_top``.
+    """
+    prefs = ratings.select("user_id", "item_id")
+    one = F.lit(1.0)
+    found = search_top(
+        prefs.select(F.col("item_id").alias("query"), F.col("user_id").alias("key"), one.alias("q")),
+        prefs.select(F.col("item_id").alias("other"), F.col("user_id").alias("key"), one.alias("impact")),
+        n, hot_key=hot_user,
+    )
+    sizes = prefs.groupBy(F.col("item_id").alias("query")).agg(F.count("*").alias("_n"))
+    return found.join(sizes, "query").select(
+        F.col("query").alias("item_id"), F.col("other").alias("other_id"),
+        (F.col("score") / F.col("_n")).alias("score"), "rank",
+    )
+
+
 def similar_items(ratings: DataFrame, n: int, measure="assoc_basic") -> DataFrame:
     """Top ``n`` similar items per item: ``(item_id, other_id, score, rank)``."""
     sims = similarity_table(ratings, "item", measure, both_directions=True)
@@ -280,5 +302,22 @@ def als_model(ratings: DataFrame, rank: int = 10, reg: float = 0.5, steps: int =
 
 
 def als_predict(ratings: DataFrame, targets: DataFrame, **options) -> DataFrame:
-    model = als_model(ratings, **options)
-    return model.transform(targets.select(*PAIR)).withColumn("prediction", F.col("prediction").cast("double"))
+    """Predictions for the targets whose user and item are known.
+
+    The factorisation takes int ids, so users and items get dense ids first.
+    """
+    rows = cut_lineage(ratings.select(*PAIR, "rating"))
+    users = dictionary(rows, "user_id", "_user")
+    items = dictionary(rows, "item_id", "_item")
+
+    def encoded(df: DataFrame, *others: str) -> DataFrame:
+        named = df.join(users, "user_id").join(items, "item_id")
+        ids = [F.col("_user").cast("int").alias("u"), F.col("_item").cast("int").alias("i")]
+        return named.select(*PAIR, *ids, *others)
+
+    train = encoded(rows, "rating").select(F.col("u").alias("user_id"), F.col("i").alias("item_id"), "rating")
+    wanted = encoded(targets.select(*PAIR)).select(
+        F.struct(*PAIR).alias("ids"), F.col("u").alias("user_id"), F.col("i").alias("item_id")
+    )
+    predicted = als_model(train, **options).transform(wanted)
+    return predicted.select("ids.*", F.col("prediction").cast("double").alias("prediction"))

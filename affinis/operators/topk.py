@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Scores are ranked after rounding, so the order does not depend on floating-point sum order.
 RANK_DIGITS = 9
+# spark.sql.optimizer.windowGroupLimitThreshold's default.
+_PLANNER_LIMIT = 1_000
+_PARTS = 64
 
 
 def rank_order(score: str, tie: list[str]) -> list[Column]:
@@ -21,10 +24,18 @@ def top_k(
     ``row_number() <= k`` lets Spark cut to k rows per key before the shuffle, so a hot key
     sends at most k rows per task.
     """
-    window = Window.partitionBy(*by).orderBy(*rank_order(score, tie))
+    order = rank_order(score, tie)
+    window = Window.partitionBy(*by).orderBy(*order)
+    rows = df.filter(F.col(score).isNotNull())
+    if k > _PLANNER_LIMIT:
+        # The planner makes no early cut for a large k: cut each of some parts of a key first.
+        part = F.pmod(F.xxhash64(*tie), F.lit(_PARTS))
+        rows = rows.withColumn("_part", part)
+        parts = Window.partitionBy(*by, "_part").orderBy(*order)
+        rows = rows.withColumn("_place", F.row_number().over(parts)).filter(F.col("_place") <= k)
+        rows = rows.drop("_part", "_place")
     return (
-        df.filter(F.col(score).isNotNull())
-        .withColumn(rank, F.row_number().over(window))
+        rows.withColumn(rank, F.row_number().over(window))
         .filter(F.col(rank) <= k)
         .withColumn(rank, F.col(rank).cast("bigint"))
     )

@@ -100,6 +100,12 @@ def _top_similar(measure, n):
     return query
 
 
+def nonpersonalized_topn(spark, sf):
+    return R.associated_items(V.ratings(spark, sf), 5).select(
+        "item_id", "other_id", rounded("score").alias("score"), "rank"
+    )
+
+
 def sim_user_centered(spark, sf):
     return _scored(P.centred_cosine(P.centred(V.ratings(spark, sf)), "user").filter("a < b"))
 
@@ -175,8 +181,7 @@ def item_knn_predict(spark, sf):
 
 def als_predict(spark, sf):
     train, test = V.holdout(spark, sf)
-    pred = _predictions(R.als_predict(train, test))
-    return pred.withColumns({c: F.col(c).cast("bigint") for c in PAIR})
+    return _predictions(R.als_predict(train, test))
 
 
 QUERIES = {
@@ -195,7 +200,8 @@ QUERIES = {
     "recommend_with_titles": recommend_with_titles,
     "assoc_basic": _sim("item", "assoc_basic"),
     "assoc_advanced": _sim("item", "assoc_advanced"),
-    "nonpersonalized_topn": _top_similar("assoc_advanced", 5),
+    "nonpersonalized_topn": nonpersonalized_topn,
+    "nonpersonalized_advanced_topn": _top_similar("assoc_advanced", 5),
     "sim_pearson": _sim("item", "pearson"),
     "sim_pearson_weighted": _sim("user", "pearson_w"),
     "sim_euclidean": _sim("item", "euclidean"),
@@ -290,6 +296,7 @@ def _topn(source, k):
 
 
 _SIMILAR = f"SELECT a AS item_id, b AS other_id, {r6('score', 'score')}, rank FROM"
+_BASIC = f"(SELECT *, {SCORES['assoc_basic']} AS score FROM item_stats2)"
 _ADVANCED = f"(SELECT *, {SCORES['assoc_advanced']} AS score FROM item_stats2)"
 
 _USER_BASED = """
@@ -355,6 +362,9 @@ ORACLE = {
     "assoc_basic": _sim_sql("item", "assoc_basic", True),
     "assoc_advanced": _sim_sql("item", "assoc_advanced", True),
     "nonpersonalized_topn": with_(
+        ["item_stats2"], f"{_SIMILAR} ({top(_BASIC, 'a', 'score', 'b', 5, 'a, b, score')})"
+    ),
+    "nonpersonalized_advanced_topn": with_(
         ["item_stats2"], f"{_SIMILAR} ({top(_ADVANCED, 'a', 'score', 'b', 5, 'a, b, score')})"
     ),
     "sim_pearson": _sim_sql("item", "pearson"),

@@ -50,7 +50,7 @@ def _content(weighted):
     def query(spark, sf):
         ratings = V.ratings(spark, sf)
         rows = T.tag_tfidf(V.tags(spark, sf), ratings)
-        recs = T.content_recommend(T.user_profile(ratings, rows, weighted), rows, ratings, 5)
+        recs = T.content_recommend(T.user_profile(ratings, rows, weighted), rows, ratings, 5, weighted)
         return recs.select(*PAIR, rounded("score").alias("score"), "rank")
 
     return query

@@ -56,7 +56,8 @@ def file_types(spark, sf):
 
 
 def doc_sentences(spark, sf):
-    return X.sentence_words(V.docs(spark, sf))
+    rows = X.sentence_words(V.docs(spark, sf))
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("sentence", "position")})
 
 
 QUERIES = {

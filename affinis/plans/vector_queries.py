@@ -221,7 +221,9 @@ def svm_accuracy(spark, sf):
     labelled = cut_lineage(
         rows.join(labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     )
-    return E.accuracy(C.train_svm(labelled).transform(labelled), "label", "prediction")
+    scored = cut_lineage(C.train_svm(labelled).transform(labelled))
+    auc = E.area_under_curve(scored, "label", "rawPrediction")
+    return E.accuracy(scored, "label", "prediction").withColumn("auc", F.lit(auc))
 
 
 def baskets(spark, sf):

@@ -189,6 +189,11 @@ def test_boolean_scores(intro):
     assert as_dict(got, ["item_id"], "score") == near({104: 0.75 + 0.4 + 0.5, 105: 0.5, 106: 0.9})
 
 
+def test_als_takes_long_ids(intro):
+    far = intro.withColumn("user_id", F.col("user_id") + 2**40)
+    assert R.als_predict(far, far, rank=2, steps=2).filter("user_id > 1099511627776").count() == 21
+
+
 def test_als_predicts_in_sample(intro):
     pred = R.als_predict(intro, intro, rank=2, steps=3)
     assert pred.count() == 21 and pred.filter("isnan(prediction)").count() == 0

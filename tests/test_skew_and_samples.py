@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinis.operators import pairs as P
+from affinis.operators import recommend as R
 from affinis.operators import sampling as S
 from affinis.operators import tags as T
 from affinis.operators.joins import grid_join
@@ -85,6 +86,36 @@ def test_tag_search_without_hot_tags_is_exact(spark, hot_df, n):
     assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
 
 
+@pytest.mark.parametrize("hot", [2, 6, 15])
+@pytest.mark.parametrize("n", [1, 4])
+def test_association_without_hot_users_is_exact(spark, hot, n):
+    rng = random.Random(9)
+    rows = {(u, min(int(rng.expovariate(0.05)), 79)) for u in range(60) for _ in range(60 if u < 3 else rng.randrange(1, 8))}
+    ratings = spark.createDataFrame([(u, i, 3.0) for u, i in rows], "user_id bigint, item_id bigint, rating double")
+    keys = ["item_id", "rank"]
+    plain = R.similar_items(ratings, n, "assoc_basic")
+    pruned = R.associated_items(ratings, n, hot_user=hot)
+    assert as_dict(pruned, keys, "other_id") == as_dict(plain, keys, "other_id")
+    assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+@pytest.mark.parametrize("hot_df", [5, 25])
+def test_content_lists_without_hot_tags_are_exact(spark, weighted, hot_df):
+    tags = tag_rows(spark)
+    ratings = spark.createDataFrame(
+        [(u, (u * 7 + i * 11) % 150, float((u + i) % 10 + 1) / 2) for u in range(40) for i in range(9)],
+        "user_id bigint, item_id bigint, rating double",
+    )
+    rows = T.tag_tfidf(tags, ratings)
+    profile = T.user_profile(ratings, rows, weighted)
+    keys = ["user_id", "rank"]
+    plain = T.content_recommend(profile, rows, ratings, 3, weighted, hot_df=10**9)
+    pruned = T.content_recommend(profile, rows, ratings, 3, weighted, hot_df=hot_df)
+    assert as_dict(pruned, keys, "item_id") == as_dict(plain, keys, "item_id")
+    assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
+
+
 def test_tags_in_two_runs_are_one_item(spark):
     rows = [(1, "Big Cat"), (2, "dog"), (1, "big cat"), (1, "dog")]
     tags = T.normalize_tags(spark.createDataFrame(rows, "item_id bigint, tag string"))
@@ -105,6 +136,14 @@ def test_top_k_breaks_ties_by_id(spark):
     assert [r["id"] for r in rows] == [2, 3]
 
 
+def test_large_k_equals_small_steps(spark, monkeypatch):
+    monkeypatch.setattr("affinis.operators.topk._PLANNER_LIMIT", 5)
+    df = skewed(spark, 500, 4)
+    got = as_dict(top_k(df, ["k"], "v", ["id"], 20), ["k", "rank"], "id")
+    monkeypatch.setattr("affinis.operators.topk._PLANNER_LIMIT", 1000)
+    assert got == as_dict(top_k(df, ["k"], "v", ["id"], 20), ["k", "rank"], "id")
+
+
 @pytest.mark.parametrize("pct", [0.0001, 1, 37, 100])
 def test_sample_is_exact_and_seeded(spark, pct):
     df = spark.range(1000).repartition(5)
