@@ -53,10 +53,11 @@ def search_top(
     sizes = postings.groupBy("key").agg(
         F.count("*").alias("_n"), F.max(F.abs("impact")).alias("most")
     )
-    hot = cut_lineage(sizes.filter(F.col("_n") > hot_key).select("key", "most"))
+    hot = sizes.filter(F.col("_n") > hot_key).select("key", "most")
     if hot.isEmpty():
         return top_k(answers(queries, postings), ["query"], "score", ["other"], n)
 
+    hot = cut_lineage(hot)
     hot_queries = queries.join(hot, "key")
     hot_postings = postings.join(hot.select("key"), "key", "left_semi")
     cold = cut_lineage(
