@@ -376,13 +376,31 @@ define(
 )
 
 
+define(
+    "all_sets",
+    """
+    SELECT item AS items, freq FROM item_freq
+    UNION ALL SELECT x || '; ' || y, freq FROM two_sets
+    UNION ALL SELECT x || '; ' || y || '; ' || z, freq FROM three_sets""",
+    "item_freq", "two_sets", "three_sets",
+)
+define(
+    "split_sets",
+    """
+    SELECT x AS rest, y AS item, freq FROM two_sets UNION ALL SELECT y, x, freq FROM two_sets
+    UNION ALL SELECT x || '; ' || y, z, freq FROM three_sets
+    UNION ALL SELECT x || '; ' || z, y, freq FROM three_sets
+    UNION ALL SELECT y || '; ' || z, x, freq FROM three_sets""",
+    "two_sets", "three_sets",
+)
+
+
 def _rules_sql(base):
     return with_(
-        ["two_sets", "item_freq", "basket_count"],
+        ["all_sets", "split_sets", "basket_count"],
         f"""
         SELECT rest, r.item, {r6('100e0 * r.freq / n', 'support')}, {r6('100e0 * r.freq / f.freq', 'confidence')}
-        FROM (SELECT x AS rest, y AS item, freq FROM two_sets UNION ALL SELECT y, x, freq FROM two_sets) r
-        JOIN item_freq f ON f.item = r.{base}, basket_count""",
+        FROM split_sets r JOIN all_sets f ON f.items = r.{base}, basket_count""",
     )
 
 

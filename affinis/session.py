@@ -45,12 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input has fewer splits than the cluster has cores.
+    """Rows over all cores where the input has splits for less than half of them.
 
     Such an input is small; one with enough splits is left as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

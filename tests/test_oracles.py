@@ -40,7 +40,7 @@ def test_query(spark, con, name):
     df = QUERIES[name](spark, SF_DIR)
     order = sorted(df.columns)
     mine = [tuple(r[c] for c in order) for r in df.collect()]
-    assert mine
+    assert mine or name in ORACLE
     if name not in ORACLE:
         return
     result = con.execute(ORACLE[name])

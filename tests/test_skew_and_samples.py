@@ -75,8 +75,7 @@ def tag_rows(spark):
     return spark.createDataFrame(rows, "item_id bigint, tag string")
 
 
-@pytest.mark.parametrize("hot_df", [3, 10, 40])
-@pytest.mark.parametrize("n", [1, 5])
+@pytest.mark.parametrize(("hot_df", "n"), [(3, 5), (40, 2)])
 def test_tag_search_without_hot_tags_is_exact(spark, hot_df, n):
     tags = tag_rows(spark)
     keys = ["item_id", "rank"]
@@ -86,8 +85,7 @@ def test_tag_search_without_hot_tags_is_exact(spark, hot_df, n):
     assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
 
 
-@pytest.mark.parametrize("hot", [2, 6, 15])
-@pytest.mark.parametrize("n", [1, 4])
+@pytest.mark.parametrize(("hot", "n"), [(2, 4), (15, 1)])
 def test_association_without_hot_users_is_exact(spark, hot, n):
     rng = random.Random(9)
     rows = {(u, min(int(rng.expovariate(0.05)), 79)) for u in range(60) for _ in range(60 if u < 3 else rng.randrange(1, 8))}
@@ -99,8 +97,7 @@ def test_association_without_hot_users_is_exact(spark, hot, n):
     assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
 
 
-@pytest.mark.parametrize("weighted", [False, True])
-@pytest.mark.parametrize("hot_df", [5, 25])
+@pytest.mark.parametrize(("weighted", "hot_df"), [(False, 25), (True, 5)])
 def test_content_lists_without_hot_tags_are_exact(spark, weighted, hot_df):
     tags = tag_rows(spark)
     ratings = spark.createDataFrame(
