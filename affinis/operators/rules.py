@@ -58,7 +58,7 @@ def association_rules(
 def rules_for(
     basket_items: DataFrame, min_support: float, confidence: str = "consequent"
 ) -> DataFrame:
-    """Rules straight from baskets."""
+    """Rules straight from baskets. ``basket_items`` is read several times and should be a table."""
     return association_rules(
         frequent_itemsets(basket_items, min_support), item_frequency(basket_items),
         distinct_total(basket_items, "basket_id"), confidence,

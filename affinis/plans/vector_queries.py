@@ -34,8 +34,8 @@ def vector_lines(spark, sf):
 
 
 def doc_vectors(spark, sf):
-    """``(doc_id, key, weight)`` token counts, as a table."""
-    counts = cut_lineage(X.analyzed_tokens(V.docs(spark, sf)))
+    """``(doc_id, key, weight)`` token counts."""
+    counts = X.analyzed_tokens(V.docs(spark, sf))
     return counts.select("doc_id", F.col("token").alias("key"), F.col("n").cast("double").alias("weight"))
 
 
@@ -79,7 +79,7 @@ def vector_roundtrip(spark, sf):
 
 
 def sparse_export(spark, sf):
-    rows, _, _ = S.export_sparse(doc_labels(spark, sf), doc_vectors(spark, sf), "doc_id")
+    rows, _, _ = S.export_sparse(doc_labels(spark, sf), cut_lineage(doc_vectors(spark, sf)), "doc_id")
     return rows.withColumn("value", rounded("value"))
 
 
@@ -241,7 +241,7 @@ def frequent_itemsets(spark, sf):
 
 def _rules(confidence):
     def query(spark, sf):
-        rules = U.rules_for(V.basket_items(spark, sf), MIN_SUPPORT, confidence)
+        rules = U.rules_for(cut_lineage(V.basket_items(spark, sf)), MIN_SUPPORT, confidence)
         return rules.select(
             F.array_join("rest", "; ").alias("rest"), "item", rounded("support").alias("support"),
             rounded("confidence").alias("confidence"),
