@@ -40,8 +40,9 @@ def search_top(
     Keys with more than ``hot_key`` postings do not spread into pairs at once. Candidates come
     from the other keys, and hot parts are added to candidates alone. For a query that is exact
     if its n-th best candidate must stay above the most that hot keys can give to an answer
-    which is no candidate. Queries that fail this test run over all their keys, so the result
-    is always the full one.
+    which is no candidate. A query that fails this test but has one hot key takes the first
+    answers of that key as further candidates. The other queries run over all their keys, so
+    the result is always the full one.
     """
 
     def answers(q: DataFrame, p: DataFrame) -> DataFrame:
@@ -63,7 +64,9 @@ def search_top(
     cold = cut_lineage(
         answers(queries.join(hot, "key", "left_anti"), postings.join(hot, "key", "left_anti"))
     )
-    bounds = hot_queries.groupBy("query").agg(F.sum(F.abs("q") * F.col("most")).alias("bound"))
+    bounds = hot_queries.groupBy("query").agg(
+        F.sum(F.abs("q") * F.col("most")).alias("bound"), F.count("*").alias("_hot")
+    )
     kth = top_k(cold, ["query"], "score", ["other"], n).filter(F.col("rank") == n)
     # A candidate keeps its score without hot keys, or loses at most the bound if signs differ.
     least = F.col("score") - (F.col("bound") if signed else F.lit(0.0))
@@ -72,22 +75,33 @@ def search_top(
         .filter(F.col("least") > F.col("bound") + _MARGIN)
         .select("query", "bound", "least")
     )
-    unsafe = bounds.join(safe, "query", "left_anti").select("query")
+    open_queries = bounds.join(safe, "query", "left_anti")
+    # Behind one hot key and no other shared key, answers come in the key's own order: the first
+    # n of it, besides the query itself, leave no room for a later one.
+    one_key = (F.col("_hot") == 1) if exclude is None and not signed else F.lit(False)
+    single = open_queries.filter(one_key).select("query")
+    unsafe = open_queries.filter(~one_key).select("query")
 
     without_hot = cold.join(bounds, "query", "left_anti")
     near = cold.join(safe, "query").filter(F.col("score") + F.col("bound") >= F.col("least") - _MARGIN)
+    heads = top_k(hot_postings, ["key"], "impact", ["other"], n + 1).select("key", "other")
+    first = (
+        hot_queries.join(single, "query", "left_semi").select("query", "key").join(heads, "key")
+        .filter(F.col("query") != F.col("other"))
+        .select("query", "other", F.lit(0.0).alias("score"))
+    )
+    pairs = (
+        near.select("query", "other", "score")
+        .unionByName(cold.join(single, "query", "left_semi"))
+        .unionByName(first)
+    )
     added = (
-        near.select("query", "other")
+        pairs.select("query", "other").distinct()
         .join(hot_queries.select("query", "key", "q"), "query")
         .join(hot_postings, ["other", "key"])
         .select("query", "other", (F.col("q") * F.col("impact")).alias("score"))
     )
-    lifted = (
-        near.select("query", "other", "score")
-        .unionByName(added)
-        .groupBy("query", "other")
-        .agg(F.sum("score").alias("score"))
-    )
+    lifted = pairs.unionByName(added).groupBy("query", "other").agg(F.sum("score").alias("score"))
     in_full = answers(queries.join(unsafe, "query", "left_semi"), postings)
     scores = without_hot.unionByName(lifted).unionByName(in_full)
     return top_k(scores, ["query"], "score", ["other"], n)

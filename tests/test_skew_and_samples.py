@@ -97,6 +97,18 @@ def test_association_without_hot_users_is_exact(spark, hot, n):
     assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
 
 
+@pytest.mark.parametrize("n", [1, 3])
+def test_association_with_one_huge_user_and_sparse_rest(spark, n):
+    rng = random.Random(2)
+    rows = {(0, i) for i in range(0, 120, 2)} | {(rng.randrange(1, 90), rng.randrange(120)) for _ in range(180)}
+    ratings = spark.createDataFrame([(u, i, 3.0) for u, i in rows], "user_id bigint, item_id bigint, rating double")
+    keys = ["item_id", "rank"]
+    plain = R.similar_items(ratings, n, "assoc_basic")
+    pruned = R.associated_items(ratings, n, hot_user=20)
+    assert as_dict(pruned, keys, "other_id") == as_dict(plain, keys, "other_id")
+    assert as_dict(pruned, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
+
+
 @pytest.mark.parametrize(("weighted", "hot_df"), [(False, 25), (True, 5)])
 def test_content_lists_without_hot_tags_are_exact(spark, weighted, hot_df):
     tags = tag_rows(spark)
