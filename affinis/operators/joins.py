@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key with more rows than this is cut into blocks of about this many rows, so that one
-# cell of the grid makes at most about the square of it in row pairs.
+# cell of the grid makes at most about the square of it in row pairs. A session may set its own
+# number as ``affinis.join.rowsPerBlock``.
 ROWS_PER_BLOCK = 20_000
 
 
+def block_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("affinis.join.rowsPerBlock", str(ROWS_PER_BLOCK)))
+
+
 def _hot_keys(left: DataFrame, right: DataFrame | None, on: list[str], rows_per_block: int) -> DataFrame:
     """``(on, _nl, _nr)``: block counts of the keys with more than one block on a side."""
     count = F.count("*")
@@ -42,7 +47,7 @@ def grid_join(
     on: list[str],
     left_id: str,
     right_id: str,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     self_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``on`` for many rows per key on both sides.
@@ -54,9 +59,10 @@ def grid_join(
 
     ``self_rows`` says that both sides are the rows of one table, whose keys are then
     counted once. The hot-key table has at most ``rows / rows_per_block`` rows; Spark picks
-    its join by the measured size. Both sides get all shuffle partitions, because a small
-    input may still make a large join.
+    its join by the measured size. The left side gets all shuffle partitions, because a small
+    input may still make a large join; the right side moves only if Spark's join needs it to.
     """
+    rows_per_block = rows_per_block or block_rows(left)
     hot = _hot_keys(self_rows, None, on, rows_per_block) if self_rows is not None else _hot_keys(
         left, right, on, rows_per_block
     )
@@ -74,6 +80,5 @@ def grid_join(
         .withColumn("_br", _own_block(right_id, "_nr"))
         .withColumn("_bl", _every_block("_nl"))
         .drop("_nl", "_nr")
-        .repartition(partitions, *cell)
     )
     return cells_left.join(cells_right, cell).drop("_bl", "_br")

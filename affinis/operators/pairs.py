@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.measures import Measure, as_measure
-from affinis.operators.joins import ROWS_PER_BLOCK, grid_join
+from affinis.operators.joins import grid_join
 
 
 def distinct_total(rows: DataFrame, column: str) -> Column:
@@ -23,7 +23,7 @@ def pair_stats(
     value: str,
     marginals: bool = True,
     left_ids: DataFrame | None = None,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Statistics of every pair of ids that share a key; one row per ``a < b``.
 
@@ -63,9 +63,7 @@ def pair_stats(
     )
 
 
-def directed(stats: DataFrame) -> DataFrame:
-    """Both directions of each ``a < b`` row, by swapping the ``a`` and ``b`` columns."""
-
+def _other_way(stats: DataFrame) -> list[Column]:
     def swap(name: str) -> str:
         head, _, tail = name.rpartition("_")
         flip = {"a": "b", "b": "a", "aa": "bb", "bb": "aa"}
@@ -73,9 +71,18 @@ def directed(stats: DataFrame) -> DataFrame:
             return flip[name]
         return f"{head}_{flip[tail]}" if head and tail in flip else name
 
+    return [F.col(swap(col)).alias(col) for col in stats.columns]
+
+
+def directed(stats: DataFrame) -> DataFrame:
+    """Both directions of each ``a < b`` row, by swapping the ``a`` and ``b`` columns."""
     same = F.struct(*[F.col(col) for col in stats.columns])
-    swapped = F.struct(*[F.col(swap(col)).alias(col) for col in stats.columns])
-    return stats.select(F.inline(F.array(same, swapped)))
+    return stats.select(F.inline(F.array(same, F.struct(*_other_way(stats)))))
+
+
+def turned(stats: DataFrame) -> DataFrame:
+    """Each row the other way round: ``a`` is ``b`` and ``b`` is ``a``."""
+    return stats.select(*_other_way(stats))
 
 
 def score_pairs(
@@ -103,10 +110,21 @@ def similarity_table(
     return score_pairs(stats, m, distinct_total(ratings, key) if m.needs_total else None)
 
 
-def similarity_grid(ratings: DataFrame, by: str, measures: Iterable[str]) -> DataFrame:
-    """``(measure, a, b, score)`` for several measures from one pass over the pairs."""
+def similarity_grid(
+    ratings: DataFrame, by: str, measures: Iterable[str], left_ids: DataFrame | None = None,
+    right_ids: DataFrame | None = None,
+) -> DataFrame:
+    """``(measure, a, b, score)`` for several measures from one pass over the pairs.
+
+    ``left_ids`` or ``right_ids`` (one column) cut ``a`` or ``b`` to those ids before any pair arises.
+    """
     key, id = ("user_id", "item_id") if by == "item" else ("item_id", "user_id")
-    stats = directed(pair_stats(ratings, key, id, "rating"))
+    if left_ids is not None:
+        stats = pair_stats(ratings, key, id, "rating", left_ids=left_ids)
+    elif right_ids is not None:
+        stats = turned(pair_stats(ratings, key, id, "rating", left_ids=right_ids))
+    else:
+        stats = directed(pair_stats(ratings, key, id, "rating"))
     total = distinct_total(ratings, key)
     cells = [
         F.struct(F.lit(name).alias("measure"), as_measure(name).score(F.col("_total")).alias("score"))

@@ -192,15 +192,23 @@ def item_based_scores(ratings: DataFrame, sims: DataFrame, min_neighbours: int =
     return unseen(scores, ratings)
 
 
-def item_based_estimate(
-    ratings: DataFrame, sims: DataFrame, targets: DataFrame, min_neighbours: int = 2
-) -> DataFrame:
-    """Estimates for given pairs only: target, the user's ratings, then the pair's similarity."""
+def target_neighbours(ratings: DataFrame, sims: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(user_id, item_id, other, s, r)`` for given pairs: the user's ratings of items similar to the target.
+
+    ``sims(a, b, score)`` with ``a`` the target items.
+    """
     wanted = targets.select(*PAIR).distinct()
     rated = ratings.select("user_id", F.col("item_id").alias("other"), F.col("rating").alias("r"))
     candidates = grid_join(wanted, rated, ["user_id"], "item_id", "other")
     table = sims.select(F.col("a").alias("item_id"), F.col("b").alias("other"), F.col("score").alias("s"))
-    return weighted_mean(candidates.join(table, ["item_id", "other"]), PAIR, min_neighbours)
+    return candidates.join(table, ["item_id", "other"])
+
+
+def item_based_estimate(
+    ratings: DataFrame, sims: DataFrame, targets: DataFrame, min_neighbours: int = 2
+) -> DataFrame:
+    """Estimates for given pairs only. Build ``sims`` with ``left_ids`` of the target items."""
+    return weighted_mean(target_neighbours(ratings, sims, targets), PAIR, min_neighbours)
 
 
 def recommend(
@@ -265,7 +273,10 @@ def slope_one(ratings: DataFrame, weighted: bool = True, targets: DataFrame | No
     Weighted by the number of users behind each difference, or unweighted. Predicts every
     unrated pair with a common rater, or the ``targets`` only.
     """
-    stats = directed(pair_stats(ratings, "user_id", "item_id", "rating", marginals=False))
+    if targets is None:
+        stats = directed(pair_stats(ratings, "user_id", "item_id", "rating", marginals=False))
+    else:
+        stats = pair_stats(ratings, "user_id", "item_id", "rating", marginals=False, left_ids=targets.select("item_id"))
     diffs = stats.select(
         F.col("a").alias("item_id"), F.col("b").alias("other"),
         ((F.col("sum_a") - F.col("sum_b")) / F.col("n")).alias("dev"),
@@ -283,10 +294,17 @@ def slope_one(ratings: DataFrame, weighted: bool = True, targets: DataFrame | No
     return scores if targets is not None else unseen(scores, ratings)
 
 
-def item_knn_predict(ratings: DataFrame, k: int = 10, measure="llr") -> DataFrame:
-    """Mean of the user's ``k`` rated items nearest to each unrated item, weighted by similarity."""
-    sims = similarity_table(ratings, "item", measure, both_directions=True)
-    candidates = unseen(_rated_neighbours(ratings, sims), ratings)
+def item_knn_predict(ratings: DataFrame, k: int = 10, measure="llr", targets: DataFrame | None = None) -> DataFrame:
+    """Mean of the user's ``k`` rated items nearest to each unrated item, weighted by similarity.
+
+    With ``targets`` for these pairs only; other items are cut before any pair of items arises.
+    """
+    if targets is None:
+        sims = similarity_table(ratings, "item", measure, both_directions=True)
+        candidates = unseen(_rated_neighbours(ratings, sims), ratings)
+    else:
+        sims = similarity_table(ratings, "item", measure, left_ids=targets.select("item_id"))
+        candidates = target_neighbours(ratings, sims, targets)
     return weighted_mean(top_k(candidates, PAIR, "s", ["other"], k), PAIR, 1)
 
 

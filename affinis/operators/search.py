@@ -65,7 +65,8 @@ def search_top(
         answers(queries.join(hot, "key", "left_anti"), postings.join(hot, "key", "left_anti"))
     )
     bounds = hot_queries.groupBy("query").agg(
-        F.sum(F.abs("q") * F.col("most")).alias("bound"), F.count("*").alias("_hot")
+        F.sum(F.abs("q") * F.col("most")).alias("bound"), F.count("*").alias("_hot"),
+        F.max(F.abs(F.col("q") - 1)).alias("_off"),
     )
     kth = top_k(cold, ["query"], "score", ["other"], n).filter(F.col("rank") == n)
     # A candidate keeps its score without hot keys, or loses at most the bound if signs differ.
@@ -77,8 +78,9 @@ def search_top(
     )
     open_queries = bounds.join(safe, "query", "left_anti")
     # Behind one hot key and no other shared key, answers come in the key's own order: the first
-    # n of it, besides the query itself, leave no room for a later one.
-    one_key = (F.col("_hot") == 1) if exclude is None and not signed else F.lit(False)
+    # n of it, besides the query itself, leave no room for a later one. That order is by impact alone,
+    # so it holds for a weight of 1, where rounding of the score and of the impact agree.
+    one_key = ((F.col("_hot") == 1) & (F.col("_off") == 0)) if exclude is None and not signed else F.lit(False)
     single = open_queries.filter(one_key).select("query")
     unsafe = open_queries.filter(~one_key).select("query")
 

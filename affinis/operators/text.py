@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions.html import page_parts
@@ -34,6 +34,21 @@ def sentence_term_counts(docs: DataFrame, ids: list[str], stop_words: Iterable[s
     return terms.groupBy(*ids, "term").agg(F.count("*").alias("n"))
 
 
+def without_listed(rows: DataFrame, term: str, stop_words: DataFrame, word: str) -> DataFrame:
+    """Rows whose term is not in a table of stop words, for lists too long for an expression.
+
+    Spark sends the list to all tasks where its size allows it, and joins by the term otherwise.
+    """
+    listed = stop_words.select(F.col(word).alias(term)).distinct()
+    return rows.join(listed, term, "left_anti")
+
+
+def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
+    """``(word)``: one stop word per line; blank lines and lines that start with ``#`` don't count."""
+    word = F.lower(F.trim("value"))
+    return spark.read.text(path).select(word.alias("word")).filter((F.col("word") != "") & ~F.col("word").startswith("#"))
+
+
 def message_words(messages: DataFrame, id: str = "doc_id") -> DataFrame:
     """``(id, word, n)``: words of the header values and of the body."""
     text = message_text(lines(F.col("text")))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # Scores are ranked after rounding, so the order does not depend on floating-point sum order.
 RANK_DIGITS = 9
-# spark.sql.optimizer.windowGroupLimitThreshold's default.
-_PLANNER_LIMIT = 1_000
 _PARTS = 64
 
 
@@ -27,7 +25,7 @@ def top_k(
     order = rank_order(score, tie)
     window = Window.partitionBy(*by).orderBy(*order)
     rows = df.filter(F.col(score).isNotNull())
-    if k > _PLANNER_LIMIT:
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         # The planner makes no early cut for a large k: cut each of some parts of a key first.
         part = F.pmod(F.xxhash64(*tie), F.lit(_PARTS))
         rows = rows.withColumn("_part", part)

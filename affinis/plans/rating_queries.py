@@ -56,7 +56,7 @@ def split_holdout(spark, sf):
 
 def unseen_items(spark, sf):
     """Sparse (customer, part) pairs that are no dense rating: an anti join on both keys."""
-    return R.unseen(V.ratings_sparse(spark, sf), V.ratings(spark, sf))
+    return R.unseen(V.ratings_sparse(spark, sf), V.latest_ratings(spark, sf))
 
 
 def item_cooccurrence(spark, sf):
@@ -64,7 +64,7 @@ def item_cooccurrence(spark, sf):
 
 
 def user_means(spark, sf):
-    return P.user_means(V.ratings(spark, sf)).select("user_id", rounded("mean_rating").alias("mean_rating"))
+    return P.user_means(V.latest_ratings(spark, sf)).select("user_id", rounded("mean_rating").alias("mean_rating"))
 
 
 def centered_ratings(spark, sf):
@@ -77,7 +77,7 @@ def vector_norms(spark, sf):
 
 
 def topk_per_key(spark, sf):
-    return top_k(V.ratings(spark, sf), ["user_id"], "rating", ["item_id"], 5).select(*PAIR, "rating", "rank")
+    return top_k(V.latest_ratings(spark, sf), ["user_id"], "rating", ["item_id"], 5).select(*PAIR, "rating", "rank")
 
 
 def threshold_neighbors(spark, sf):
@@ -146,7 +146,7 @@ def item_based_topn(spark, sf):
 
 def item_based_estimate(spark, sf):
     train, test = V.holdout(spark, sf)
-    sims = P.similarity_table(train, "item", "pearson", both_directions=True)
+    sims = P.similarity_table(train, "item", "pearson", left_ids=test.select("item_id"))
     return _predictions(R.item_based_estimate(train, sims, test), "score")
 
 
@@ -180,8 +180,11 @@ def item_knn_predict(spark, sf):
 
 
 def als_predict(spark, sf):
+    """A finite prediction for every held-out pair of a known user and item."""
     train, test = V.holdout(spark, sf)
-    return _predictions(R.als_predict(train, test))
+    found = R.als_predict(train, test)
+    finite = F.abs("prediction") < float("inf")
+    return found.select("user_id", "item_id", (finite & ~F.isnan("prediction")).alias("finite"))
 
 
 QUERIES = {
@@ -329,6 +332,12 @@ ORACLE = {
                  count(*) OVER () AS n FROM ratings)
         WHERE rn <= greatest(1, ceil(n * 10 / 100))""",
     ),
+    "als_predict": with_(
+        ["train", "heldout"],
+        """
+        SELECT user_id, item_id, true AS finite FROM heldout
+        WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
+    ),
     "split_holdout": with_(
         ["train", "heldout"],
         "SELECT *, 'train' AS part FROM train UNION ALL SELECT *, 'test' AS part FROM heldout",

@@ -57,12 +57,12 @@ def _content(weighted):
 
 
 def sim_tag_cosine(spark, sf):
-    tags = T.rated_tags(T.normalize_tags(V.tags(spark, sf)), V.ratings(spark, sf))
+    tags = T.normalize_tags(V.tags(spark, sf))
     return T.tag_cosine(tags).select("a", "b", "n", rounded("score").alias("score"))
 
 
 def sim_tag_tanimoto(spark, sf):
-    tags = T.rated_tags(T.normalize_tags(V.tags(spark, sf)), V.ratings(spark, sf))
+    tags = T.normalize_tags(V.tags(spark, sf))
     return T.tag_tanimoto(tags).select("a", "b", "n", rounded("score").alias("score"))
 
 
@@ -78,6 +78,19 @@ def tag_knn_predict(spark, sf):
     return scores.select(*PAIR, rounded("score").alias("prediction"))
 
 
+def similar_items_by_tags_hot(spark, sf):
+    """The same lists with a low bound for hot tags, so that common tags are added to candidates alone."""
+    return T.similar_by_tags(V.tags(spark, sf), 10, hot_df=20).select(
+        "item_id", "other_id", rounded("score").alias("score"), "rank"
+    )
+
+
+def tag_knn_targets(spark, sf):
+    train, test = V.holdout(spark, sf)
+    scores = T.tag_knn_predict(train, V.tags(spark, sf), test)
+    return scores.select(*PAIR, rounded("score").alias("prediction"))
+
+
 def tag_knn_recommend(spark, sf):
     recs = T.tag_knn_recommend(V.ratings(spark, sf), V.tags(spark, sf), 20)
     return recs.select(*PAIR, rounded("score").alias("score"), "rank")
@@ -95,7 +108,9 @@ QUERIES = {
     "sim_tag_cosine": sim_tag_cosine,
     "sim_tag_tanimoto": sim_tag_tanimoto,
     "similar_items_by_tags": similar_items_by_tags,
+    "similar_items_by_tags_hot": similar_items_by_tags_hot,
     "tag_knn_predict": tag_knn_predict,
+    "tag_knn_targets": tag_knn_targets,
     "tag_knn_recommend": tag_knn_recommend,
 }
 
@@ -114,7 +129,6 @@ define(
     "SELECT item_id, lower(replace(trim(tag), ' ', '_')) AS tag, count(*) AS n FROM tags GROUP BY 1, 2", "tags",
 )
 define("tf_rated", "SELECT * FROM tf_all WHERE item_id IN (SELECT item_id FROM ratings)", "tf_all", "ratings")
-define("norm_rated", "SELECT * FROM tf_norm WHERE item_id IN (SELECT item_id FROM ratings)", "tf_norm", "ratings")
 define(
     "tag_weights",
     """
@@ -192,8 +206,8 @@ define(
 )
 _PAIRS = """
     SELECT a.item_id AS a, b.item_id AS b, count(*) AS n, sum(a.n * b.n) AS dot
-    FROM norm_rated a JOIN norm_rated b ON a.tag = b.tag AND a.item_id < b.item_id GROUP BY 1, 2"""
-_TAG_NORMS = "SELECT item_id AS id, sqrt(sum(n * n)) AS norm, count(*) AS k FROM norm_rated GROUP BY 1"
+    FROM tf_norm a JOIN tf_norm b ON a.tag = b.tag AND a.item_id < b.item_id GROUP BY 1, 2"""
+_TAG_NORMS = "SELECT item_id AS id, sqrt(sum(n * n)) AS norm, count(*) AS k FROM tf_norm GROUP BY 1"
 
 ORACLE = {
     "tag_tf": with_(["tf_all"], "SELECT * FROM tf_all"),
@@ -209,20 +223,28 @@ ORACLE = {
     "content_topn": _content_sql("profile_plain"),
     "content_topn_weighted": _content_sql("profile_weighted"),
     "sim_tag_cosine": with_(
-        ["norm_rated"],
+        ["tf_norm"],
         f"SELECT a, b, n, {r6('dot / (x.norm * y.norm)', 'score')} FROM p JOIN m x ON x.id = a JOIN m y ON y.id = b",
         {"p": _PAIRS, "m": _TAG_NORMS},
     ),
     "sim_tag_tanimoto": with_(
-        ["norm_rated"],
+        ["tf_norm"],
         f"SELECT a, b, n, {r6('n / CAST(x.k + y.k - n AS DOUBLE)', 'score')} "
         "FROM p JOIN m x ON x.id = a JOIN m y ON y.id = b",
         {"p": _PAIRS, "m": _TAG_NORMS},
     ),
-    "similar_items_by_tags": with_(
+    **{name: with_(
         ["tag_hits"],
         f"SELECT item_id, other_id, {r6('score', 'score')}, rank FROM "
         f"({top('tag_hits', 'item_id', 'score', 'other_id', 10, 'item_id, other_id, score')})",
+    ) for name in ("similar_items_by_tags", "similar_items_by_tags_hot")},
+    "tag_knn_targets": with_(
+        ["train", "heldout", "top20"],
+        f"""
+        SELECT user_id, item_id, {r6('num / den', 'prediction')} FROM (
+          SELECT h.user_id, h.item_id, sum(t.score * r.rating) AS num, sum(t.score) AS den
+          FROM heldout h JOIN top20 t ON t.item_id = h.item_id JOIN train r ON r.user_id = h.user_id AND r.item_id = t.other_id
+          WHERE t.score > 0 GROUP BY 1, 2) WHERE den > 1e-9""",
     ),
     "tag_knn_predict": with_(
         ["tag_scores"],

@@ -43,7 +43,10 @@ def doc_tfidf(spark, sf):
 
 
 def page_text(spark, sf):
-    return X.extract_pages(spread(V.table(spark, sf, "pages").select("page_id", "html")))
+    """Title, author and error of every page, and whether it has a body without markup."""
+    parts = X.extract_pages(spread(V.table(spark, sf, "pages").select("page_id", "html")))
+    clean = (F.length("body") > 0) & ~F.col("body").contains("<p>")
+    return parts.select("page_id", "title", "author", "error", clean.alias("clean_body"))
 
 
 def page_title(spark, sf):
@@ -56,11 +59,31 @@ def file_types(spark, sf):
 
 
 def doc_sentences(spark, sf):
-    rows = X.sentence_words(V.docs(spark, sf))
-    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("sentence", "position")})
+    """Per document: do positions run from 0 in every sentence, and the letters of its words in order, as MD5."""
+    sentences = X.sentence_words(V.docs(spark, sf)).groupBy("doc_id", "sentence").agg(
+        F.array_sort(F.collect_list(F.struct("position", "word"))).alias("words")
+    )
+    dense = (F.col("words")[0]["position"] == 0) & (F.element_at("words", -1)["position"] == F.size("words") - 1)
+    whole = sentences.select("doc_id", "sentence", dense.alias("dense"), F.array_join("words.word", "").alias("said"))
+    return whole.groupBy("doc_id").agg(
+        F.bool_and("dense").alias("dense"),
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("sentence", "said"))), lambda s: s["said"]
+        ), "").alias("said"),
+    ).select("doc_id", "dense", F.md5(F.regexp_replace("said", r"[^\p{L}]", "").cast("binary")).alias("letters_md5"))
+
+
+def sentence_terms_listed(spark, sf):
+    """Terms of conversation turns without a list of stop words from a table: the words of the parts' names."""
+    words = V.table(spark, sf, "part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("word"))
+    types = V.table(spark, sf, "pages").select(F.explode(F.split(F.lower("html"), "[^a-z]+")).alias("word"))
+    stops = words.unionByName(types).distinct()
+    terms = X.sentence_term_counts(V.table(spark, sf, "conversations"), ["conv_id", "turn"], ())
+    return X.without_listed(terms, "term", stops, "word")
 
 
 QUERIES = {
+    "sentence_terms_listed": sentence_terms_listed,
     "labelled_docs": labelled_docs,
     "analyzed_tokens": analyzed_tokens,
     "sentence_terms": sentence_terms,
@@ -171,6 +194,21 @@ ORACLE = {
         SELECT doc_id, token, {r6('w / norm', 'weight')} FROM doc_weights
         JOIN (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM doc_weights GROUP BY 1) USING (doc_id) WHERE norm > 0""",
     ),
+    "sentence_terms_listed": r"""
+        SELECT conv_id, turn, term, count(*) AS n FROM (
+          SELECT conv_id, turn, unnest(string_split(regexp_replace(lower(text), '[^\p{L} ]', '', 'g'), ' ')) AS term
+          FROM conversations) WHERE length(term) > 1
+        AND term NOT IN (SELECT unnest(string_split(lower(p_name), ' ')) FROM part)
+        AND term NOT IN (SELECT unnest(string_split_regex(lower(html), '[^a-z]+')) FROM pages) GROUP BY 1, 2, 3""",
+    "page_text": r"""
+        SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<title[^>]*>.*?</title>')
+          THEN replace(replace(replace(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)),
+            '&lt;', '<'), '&gt;', '>'), '&amp;', '&') END AS title,
+          nullif(regexp_extract(html, '(?is)<meta name="author" content="([^"]*)"', 1), '') AS author,
+          CAST(NULL AS VARCHAR) AS error, true AS clean_body FROM pages""",
+    "doc_sentences": r"""
+        SELECT doc_id, true AS dense, md5(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters_md5 FROM documents
+        WHERE regexp_matches(text, '[\p{L}\p{N}]')""",
     "page_title": r"""
         SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<title[^>]*>.*?</title>')
           THEN trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) END AS title FROM pages""",

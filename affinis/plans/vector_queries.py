@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions import vectors as M
 from affinis.functions.numbers import rounded
+from affinis.operators import block_cluster as B
 from affinis.operators import classify as C
 from affinis.operators import cluster as K
 from affinis.operators import evaluate as E
@@ -13,6 +14,7 @@ from affinis.operators import hashing as H
 from affinis.operators import rules as U
 from affinis.operators import text as X
 from affinis.operators.dictionary import dictionary, encode
+from affinis.operators.sampling import hash_below
 from affinis.plans import text_queries  # noqa: F401  (defines token views of the oracle)
 from affinis.plans import views as V
 from affinis.plans.sql import define, r6, top, with_
@@ -21,9 +23,9 @@ from affinis.sources import ratings as src
 from affinis.sources import vectors as S
 
 K_CENTRES = 5
-T1, T2 = 1.5, 1.4
-N_SLOTS = 512
+T2 = 1.4
 MIN_SUPPORT = 0.01
+TRAIN_SHARE = 0.7
 
 
 def vector_lines(spark, sf):
@@ -110,10 +112,16 @@ def vector_distances(spark, sf):
 
 
 def canopy_centers(spark, sf):
-    points = V.points(spark, sf).select("id", "vector")
-    centres, ids = K.canopy_seeds(points, T2)
-    seeds = spark.createDataFrame(list(enumerate(ids)), "canopy_id bigint, seed bigint")
-    return K.canopies(points, centres, T1, T2).join(seeds, "canopy_id").select("canopy_id", "seed", "members")
+    """For every point: is a canopy centre nearer than T2, and if it is one itself, is no other that near?"""
+    points = cut_lineage(B.dense_points(V.points(spark, sf)))
+    centres = B.canopy_centres(points, T2)
+    near = B.close_pairs(points, centres, T2, "euclidean").groupBy("id").agg(
+        F.count("*").alias("near"), F.count_if(F.col("id") == F.col("centre_id")).alias("own")
+    )
+    apart = (F.col("own") == 0) | (F.col("near") == 1)
+    return points.join(near, "id", "left").select(
+        "id", (F.coalesce("near", F.lit(0)) > 0).alias("covered"), F.coalesce(apart, F.lit(True)).alias("apart")
+    )
 
 
 def kmeans_fixed_iters(spark, sf):
@@ -135,22 +143,49 @@ def intercluster_distance(spark, sf):
     return stats.select(*[rounded(c).alias(c) for c in stats.columns])
 
 
+def intercluster_distance_sparse(spark, sf):
+    """Centroids of the documents' sources and languages; not all of them share a word."""
+    units = C.unit_vectors(doc_vectors(spark, sf), "doc_id")
+    labels = V.table(spark, sf, "documents").select("doc_id", F.concat_ws("/", "source", "lang").alias("label"))
+    rows = C.label_centroids(units, labels, "doc_id")
+    stats = K.intercluster_distance(rows.select("label", F.col("key").alias("pos"), F.col("weight").alias("value")), "label")
+    return stats.select(*[rounded(c).alias(c) for c in stats.columns])
+
+
 def kmeans_ml(spark, sf):
-    return K.ml_kmeans(V.points(spark, sf), 10)
+    """Every point once, in one of the k clusters."""
+    found = K.ml_kmeans(V.points(spark, sf), 10)
+    return found.select("id", F.col("cluster_id").between(0, 9).alias("valid"))
 
 
-def text_clusters(spark, sf):
-    """Tokens and collocations, TF-IDF, hashed vectors, canopies, k-means by Tanimoto distance."""
+def _text_points(spark, sf):
+    """Documents as unit TF-IDF rows over all words and collocations."""
     docs = V.docs(spark, sf)
     counts = cut_lineage(X.term_table(docs, X.bigrams(docs)))
-    weights = X.doc_tfidf(counts, docs).select(
-        F.col("doc_id").alias("id"), F.col("token").alias("feature"), F.col("weight").alias("value")
-    )
-    slots = H.hash_features(weights, "id", N_SLOTS)
-    points = cut_lineage(S.sparse_rows(slots, "id", "slot", "value"))
-    seeds, _ = K.canopy_seeds(points, 0.9, "tanimoto", dim=N_SLOTS)
-    centres = K.kmeans(points, seeds, "tanimoto", 0.01, 20, dim=N_SLOTS)
-    return K.assign(points, centres, "tanimoto", dim=N_SLOTS).withColumn("distance", rounded("distance"))
+    weights = cut_lineage(X.doc_tfidf(counts, docs))
+    ids = dictionary(weights, "token", "index")
+    return cut_lineage(B.sparse_points(encode(weights, ids, "token"), "doc_id", "index", "weight"))
+
+
+def _clustered(points, centres):
+    """Per point: is its centre as near as the nearest of them?"""
+    found = cut_lineage(B.nearest(points, centres, "tanimoto"))
+    other = B.close_pairs(points, centres, 2.0, "tanimoto").groupBy("id").agg(F.min("distance").alias("least"))
+    return found.join(other, "id").select("id", (F.abs(F.col("distance") - F.col("least")) < 1e-6).alias("nearest"))
+
+
+def text_clusters(spark, sf):
+    """Words and collocations, TF-IDF, canopies by Tanimoto distance, k-means from the canopies' means."""
+    points = _text_points(spark, sf)
+    start = B.canopy_means(points, B.canopy_centres(points, 0.9, "tanimoto"), 0.9, "tanimoto")
+    return _clustered(points, B.kmeans(points, start, "tanimoto", 0.01, 10))
+
+
+def text_clusters_fuzzy(spark, sf):
+    """As ``text_clusters``, with fuzzy k-means and Euclidean canopies."""
+    points = _text_points(spark, sf)
+    start = B.canopy_means(points, B.canopy_centres(points, 1.38, "euclidean"), 1.38, "euclidean")
+    return _clustered(points, B.fuzzy_kmeans(points, start, "tanimoto", 2.0, 0.01, 3))
 
 
 def label_centroids(spark, sf):
@@ -194,8 +229,23 @@ def logreg_accuracy(spark, sf):
     messages = V.messages(spark, sf)
     rows = C.hashed_rows(X.message_features(messages), "doc_id", 10_000)
     labelled = cut_lineage(rows.join(V.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label")), "doc_id"))
-    indexer, model = C.train_logistic(labelled)
-    return E.accuracy(C.apply_logistic(labelled, indexer, model), "label", "predicted")
+    train, test = _parts(labelled)
+    indexer, model = C.train_logistic(train)
+    return _beats_majority(C.apply_logistic(test, indexer, model), "label", "predicted")
+
+
+def _parts(labelled):
+    """Training and held-out rows by a hash of the id."""
+    train = hash_below(["doc_id"], TRAIN_SHARE)
+    return labelled.filter(train), labelled.filter(~train)
+
+
+def _beats_majority(scored, label, predicted):
+    """Held-out rows, and whether as many are right as always saying the most frequent label would get."""
+    scored = cut_lineage(scored.select(label, predicted))
+    most = scored.groupBy(label).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).scalar()
+    report = E.accuracy(scored, label, predicted)
+    return report.select("total", (F.col("correct") >= most).alias("beats_majority"))
 
 
 def _labelled_terms(spark, sf):
@@ -221,9 +271,10 @@ def svm_accuracy(spark, sf):
     labelled = cut_lineage(
         rows.join(labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     )
-    scored = cut_lineage(C.train_svm(labelled).transform(labelled))
+    train, test = _parts(labelled)
+    scored = cut_lineage(C.train_svm(train).transform(test))
     auc = E.area_under_curve(scored, "label", "rawPrediction")
-    return E.accuracy(scored, "label", "prediction").withColumn("auc", F.lit(auc))
+    return _beats_majority(scored, "label", "prediction").withColumn("auc_above_half", F.lit(auc > 0.5))
 
 
 def baskets(spark, sf):
@@ -264,8 +315,10 @@ QUERIES = {
     "kmeans_fixed_iters": kmeans_fixed_iters,
     "fuzzy_kmeans_step": fuzzy_kmeans_step,
     "intercluster_distance": intercluster_distance,
+    "intercluster_distance_sparse": intercluster_distance_sparse,
     "kmeans_ml": kmeans_ml,
     "text_clusters": text_clusters,
+    "text_clusters_fuzzy": text_clusters_fuzzy,
     "label_centroids": label_centroids,
     "autotag_top3": autotag_top3,
     "autotag_accuracy": autotag_accuracy,
@@ -459,18 +512,11 @@ ORACLE = {
                {r6('1e0 - list_dot_product(p.v, m.v) / (list_dot_product(p.v, p.v) + list_dot_product(m.v, m.v) - list_dot_product(p.v, m.v))', 'tanimoto')}
         FROM points p JOIN label_means m USING (label)""",
     ),
-    "canopy_centers": with_(
-        ["points"],
-        f"""
-        SELECT it AS canopy_id, min(id) AS seed, count(*) FILTER (d < {T1}) AS members FROM (
-          SELECT it, id, list_distance(v, arg_min(v, id) OVER (PARTITION BY it)) AS d FROM r) GROUP BY 1""",
-        {"r": f"""
-          SELECT CAST(0 AS BIGINT) AS it, id, v FROM points
-          UNION ALL
-          SELECT p.it + 1, p.id, p.v FROM r p, (SELECT arg_min(v, id) AS c FROM r)
-          WHERE list_distance(p.v, c) >= {T2}"""},
-        recursive=True,
-    ),
+    "canopy_centers": "SELECT vec_id AS id, true AS covered, true AS apart FROM embeddings",
+    **{
+        name: with_(["doc_weights"], "SELECT DISTINCT doc_id AS id, true AS nearest FROM doc_weights WHERE w > 0")
+        for name in ("text_clusters", "text_clusters_fuzzy")
+    },
     "kmeans_fixed_iters": with_(
         ["points", "c0"],
         f"SELECT id, cid AS cluster_id, {r6('d', 'distance')} FROM a2",
@@ -501,6 +547,34 @@ ORACLE = {
           SELECT 1e0 - list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS d
           FROM label_means a JOIN label_means b ON a.label < b.label)""",
     ),
+    "intercluster_distance_sparse": with_(
+        ["unit_tokens"],
+        f"""
+        SELECT {r6('max(d)', 'max_distance')}, {r6('min(d)', 'min_distance')},
+               {r6('(avg(d) - min(d)) / nullif(max(d) - min(d), 0)', 'scaled_mean')} FROM (
+          SELECT a.label, b.label, 1e0 - coalesce(dot / (a.norm * b.norm), 0e0) AS d
+          FROM norms a JOIN norms b ON a.label < b.label
+          LEFT JOIN (
+            SELECT x.label AS p, y.label AS q, sum(x.weight * y.weight) AS dot FROM means x
+            JOIN means y ON x.key = y.key AND x.label < y.label GROUP BY 1, 2) ON p = a.label AND q = b.label)""",
+        {
+            "named": "SELECT u.doc_id, source || '/' || lang AS label, key, w FROM unit_tokens u "
+                     "JOIN documents d ON d.doc_id = u.doc_id",
+            "means": "SELECT label, key, sum(w) / k AS weight FROM named JOIN (SELECT label, count(DISTINCT doc_id) AS k "
+                     "FROM named GROUP BY 1) USING (label) GROUP BY label, key, k",
+            "norms": "SELECT label, sqrt(sum(weight * weight)) AS norm FROM means GROUP BY 1",
+        },
+    ),
+    "kmeans_ml": "SELECT vec_id AS id, true AS valid FROM embeddings",
+    "logreg_accuracy": f"""
+        SELECT count(*) AS total, true AS beats_majority FROM documents
+        WHERE NOT substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) < '{int(TRAIN_SHARE * 16**8):08x}'""",
+    "svm_accuracy": f"""
+        SELECT count(DISTINCT doc_id) AS total, true AS beats_majority, true AS auc_above_half FROM (
+          SELECT doc_id, unnest(string_split(regexp_replace(lower(text), '[^\\p{{L}} ]', '', 'g'), ' ')) AS term
+          FROM documents JOIN labels USING (doc_id))
+        WHERE length(term) > 1 AND term NOT IN ({text_queries.STOPS})
+          AND NOT substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) < '{int(TRAIN_SHARE * 16**8):08x}'""",
     "label_centroids": with_(["centroids"], f"SELECT label, key, {r6('weight', 'weight')} FROM centroids"),
     "autotag_top3": with_(["tagged"], f"SELECT doc_id, label, {r6('pct', 'pct')}, rank FROM tagged"),
     "autotag_accuracy": with_(

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = 8, driver_memory: str = "8g") -> SparkSession:
-    """A local session with as many shuffle partitions as cores."""
+def local_session(cpus: int | str = 8, driver_memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A local session with as many shuffle partitions as cores; stages go below ``shared`` where it is given."""
+    builder = SparkSession.builder.config("spark.checkpoint.dir", shared) if shared else SparkSession.builder
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("affinis")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", driver_memory)
@@ -25,27 +24,28 @@ def local_session(cpus: int | str = 8, driver_memory: str = "8g") -> SparkSessio
     )
 
 
-@lru_cache(maxsize=1)
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="affinis-")
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, with a part of its own for this application.
+
+    That is ``spark.checkpoint.dir`` of the session, or the warehouse folder where it is unset, never a folder
+    of one machine's own choice.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/affinis-{spark.sparkContext.applicationId}"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
+def release_stages(spark: SparkSession) -> None:
+    """Deletes what this application has written to the shared folder.
 
-    Only a local session may fall back to a temporary folder.
+    Call it when no DataFrame that an operator returned is needed any more.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_dir()
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame) -> DataFrame:

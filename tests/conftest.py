@@ -15,8 +15,8 @@ INTRO = [
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "4g")
+def spark(tmp_path_factory):
+    session = local_session(4, "4g", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

@@ -2,25 +2,19 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-import pytest
-
 from affinis import session as S
 
 
-def fake(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default: folder if folder else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
-def test_configured_folder_wins():
-    assert S.shared_dir(fake("spark://host:7077", "s3://b/c")) == "s3://b/c"
-    assert S.scratch_path(fake("local[2]", "/shared/"), "x").startswith("/shared/x-")
+def fake(**settings):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key.replace(".", "_"), default))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="app-1"))
 
 
-def test_only_local_sessions_may_fall_back():
-    assert S.shared_dir(fake("local[2]")) == S.shared_dir(fake("local[4]"))
-    with pytest.raises(ValueError):
-        S.shared_dir(fake("spark://host:7077"))
+def test_the_shared_folder_is_the_sessions():
+    session = fake(spark_checkpoint_dir="s3://b/c/", spark_sql_warehouse_dir="s3://w")
+    assert S.shared_dir(session) == "s3://b/c/affinis-app-1"
+    assert S.scratch_path(session, "x").startswith("s3://b/c/affinis-app-1/x-")
+    assert S.shared_dir(fake(spark_sql_warehouse_dir="s3://w")) == "s3://w/affinis-app-1"
 
 
 def test_stages_keep_rows_and_schema(spark):

@@ -145,11 +145,12 @@ def test_top_k_breaks_ties_by_id(spark):
     assert [r["id"] for r in rows] == [2, 3]
 
 
-def test_large_k_equals_small_steps(spark, monkeypatch):
-    monkeypatch.setattr("affinis.operators.topk._PLANNER_LIMIT", 5)
+def test_large_k_equals_small_steps(spark):
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(limit, "5")
     df = skewed(spark, 500, 4)
     got = as_dict(top_k(df, ["k"], "v", ["id"], 20), ["k", "rank"], "id")
-    monkeypatch.setattr("affinis.operators.topk._PLANNER_LIMIT", 1000)
+    spark.conf.unset(limit)
     assert got == as_dict(top_k(df, ["k"], "v", ["id"], 20), ["k", "rank"], "id")
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinis.functions.html import page_parts
+from affinis.operators import block_cluster as B
 from affinis.operators import cluster as K
 from affinis.operators import text as X
 from tests.conftest import as_dict
@@ -57,31 +58,52 @@ def test_fuzzy_converges(nine):
     assert centres[0].max() < 3 and centres[1].min() > 7
 
 
-def brute_canopies(points, t2):
-    centres, ids = [], []
-    for i, p in points:
-        if all(np.linalg.norm(np.array(p) - c) >= t2 for c in centres):
-            centres.append(np.array(p, dtype=float))
-            ids.append(i)
-    return ids
-
-
-@pytest.mark.parametrize("batch", [1, 3, 100])
-def test_canopies_equal_sequential(spark, batch):
+@pytest.mark.parametrize(("t2", "batch"), [(1.5, 4), (1.5, 256), (0.01, 8), (50.0, 8)])
+def test_canopies(spark, monkeypatch, t2, batch):
+    monkeypatch.setattr(B, "BLOCK", 40)
     rng = np.random.default_rng(3)
     rows = [(i, [float(v) for v in rng.uniform(0, 10, 2)]) for i in range(120)]
-    points = spark.createDataFrame(rows, "id bigint, vector array<double>").repartition(3)
-    centres, ids = K.canopy_seeds(points, 1.5, batch=batch)
-    assert ids == brute_canopies(rows, 1.5)
-    members = K.canopy_members(points, centres, 3.0)
-    assert members.select("id").distinct().count() == 120
-    # Sequential run: each canopy sees the points that no earlier canopy took.
-    left, expected = list(rows), {}
-    for c, (_, centre) in enumerate(centres):
-        d = {i: np.linalg.norm(np.array(p) - centre) for i, p in left}
-        expected[c] = sum(v < 3.0 for v in d.values())
-        left = [(i, p) for i, p in left if d[i] >= 1.5]
-    assert as_dict(K.canopies(points, centres, 3.0, 1.5), ["canopy_id"], "members") == expected
+    points = B.dense_points(spark.createDataFrame(rows, "id bigint, vector array<double>").repartition(3))
+    centres = B.canopy_centres(points, t2, first_batch=batch)
+    chosen = [r["id"] for r in centres.select("id").collect()]
+    at = {i: np.array(v) for i, v in rows}
+    gaps = {i: [np.linalg.norm(at[i] - at[c]) for c in chosen if c != i] for i in at}
+    assert len(set(chosen)) == len(chosen)
+    assert all(min(gaps[c], default=t2) >= t2 for c in chosen)
+    assert all(i in chosen or min(gaps[i]) < t2 for i in at)
+    assert B.canopy_means(points, centres, 2 * t2).count() == len(chosen)
+
+
+def long_rows(spark, vectors):
+    rows = [(i, k, float(v)) for i, x in enumerate(vectors) for k, v in enumerate(x)]
+    return B.sparse_points(spark.createDataFrame(rows, "id bigint, k bigint, v double"), "id", "k", "v")
+
+
+@pytest.mark.parametrize("measure", ["euclidean", "cosine", "tanimoto"])
+def test_blocks_equal_one_matrix(spark, monkeypatch, measure):
+    monkeypatch.setattr(B, "BLOCK", 7)
+    monkeypatch.setattr(B, "_COLUMNS", 5)
+    rng = np.random.default_rng(1)
+    x = rng.random((30, 12)) * (rng.random((30, 12)) < 0.4)
+    x[:, 0] += 0.1
+    c = x[:9]
+    want = K.distance_matrix(x, c, measure)
+    got = as_dict(B.close_pairs(long_rows(spark, x), long_rows(spark, c), 9.0, measure), ["id", "centre_id"], "distance")
+    assert len(got) == 270 and all(abs(d - want[i, k]) < 1e-7 for (i, k), d in got.items())
+    best = as_dict(B.nearest(long_rows(spark, x), long_rows(spark, c), measure), ["id"], "cluster_id")
+    assert best == dict(enumerate(np.argmin(np.round(want, 9), axis=1)))
+
+
+def test_block_kmeans_equals_matrix_kmeans(spark, nine):
+    start = [(0, np.array([1.0, 1.0])), (1, np.array([9.0, 9.0]))]
+    points = B.dense_points(nine)
+    centres = long_rows(spark, [v for _, v in start])
+    want = dict(K.kmeans(nine, start))
+    got = {r["id"]: r["values"] for r in B.kmeans(points, centres).collect()}
+    assert all(np.allclose(got[i], want[i]) for i in want)
+    want = dict(K.fuzzy_kmeans(nine, start, max_iter=2, delta=-1.0))
+    got = {r["id"]: r["values"] for r in B.fuzzy_kmeans(points, centres, max_iter=2, delta=-1.0).collect()}
+    assert all(np.allclose(got[i], want[i]) for i in want)
 
 
 def test_intercluster_distance(spark):
@@ -92,10 +114,21 @@ def test_intercluster_distance(spark):
     assert row["scaled_mean"] == pytest.approx(((1 + 2 * d) / 3 - d) / (1 - d))
 
 
-def test_too_many_centre_numbers_are_refused(nine, monkeypatch):
-    monkeypatch.setattr(K, "MAX_CENTRE_NUMBERS", 3)
-    with pytest.raises(ValueError):
-        K.assign(nine, [(0, np.zeros(2)), (1, np.ones(2))])
+def test_intercluster_distance_without_a_common_dimension(spark):
+    schema = "c bigint, pos bigint, value double"
+    three = spark.createDataFrame([(0, 0, 1.0), (1, 1, 1.0), (2, 0, 1.0), (2, 1, 1.0)], schema)
+    assert K.intercluster_distance(three, "c").first()["max_distance"] == pytest.approx(1.0)
+    two = K.intercluster_distance(spark.createDataFrame([(0, 0, 1.0), (1, 1, 1.0)], schema), "c").first()
+    assert two["max_distance"] == two["min_distance"] == 1.0 and two["scaled_mean"] is None
+    one = K.intercluster_distance(spark.createDataFrame([(0, 0, 1.0)], schema), "c").first()
+    assert one["max_distance"] is None
+
+
+def test_stop_words_of_a_file(spark, tmp_path):
+    (tmp_path / "stops").write_text("# words\nThe\n\n zoo \n")
+    stops = X.read_stop_words(spark, str(tmp_path / "stops"))
+    terms = spark.createDataFrame([("the", 1), ("zoo", 2), ("ox", 3)], "term string, n int")
+    assert [r["term"] for r in X.without_listed(terms, "term", stops, "word").collect()] == ["ox"]
 
 
 def words_of(spark, text):
