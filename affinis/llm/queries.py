@@ -108,4 +108,58 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_FOLDED = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+#: SQL for the operators whose result SQL can state; the others are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_FOLDED} AS w FROM benchmark),
+        p AS (
+          SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS seq FROM (
+            SELECT item, w, least(10, len(w)) AS n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i
+            FROM b WHERE len(w) > 0)),
+        o AS (
+          SELECT r, i, n, item FROM (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS seq FROM (
+              SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+              FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)) JOIN p USING (n, seq)),
+        h AS (
+          SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS pos FROM o)
+          GROUP BY 1),
+        t AS (
+          SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, item FROM o) GROUP BY 1)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+    "op6_arc_to_warc": """
+        WITH p AS (
+          SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+                 min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+        SELECT page_id, payload_bytes, array_to_string(list_transform(generate_series(0, 31), lambda j:
+                 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+                   (CAST('0x' || substr(hex, CAST(1 + 5 * (j // 4) AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31
+                 AS BIGINT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to FROM p""",
+    "op9_repeated_passages": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        v AS (
+          SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (
+            SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+        gone AS (
+          SELECT DISTINCT r, unnest(generate_series(i, i + 34)) AS pos FROM v
+          WHERE h IN (SELECT h FROM v GROUP BY 1 HAVING count(*) > 1)),
+        words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+        kept AS (
+          SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS body
+          FROM words ANTI JOIN gone USING (r, pos) GROUP BY 1)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(body, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
+}
