@@ -69,8 +69,8 @@ def covered(starts: np.ndarray, n_words: int, width: int) -> np.ndarray:
     return np.cumsum(change[:n_words]) > 0
 
 
-def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, docs): documents in the order of the input, in lists of about UNIT_BYTES."""
+def _unit_rows(batches: Iterator[pa.RecordBatch], unit_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, docs): documents in the order of the input, in lists of about ``unit_bytes``."""
     base = TaskContext.get().partitionId() << 32
     number = 0
     for batch in batches:
@@ -78,7 +78,7 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column(0).field("text")
         for at in range(len(texts)):
             size += len(texts[at].as_buffer() or b"") if texts[at].is_valid else 0
-            if size >= UNIT_BYTES or at == len(texts) - 1:
+            if size >= unit_bytes or at == len(texts) - 1:
                 rows = batch.column(0).slice(start, at + 1 - start)
                 lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
                 yield pa.RecordBatch.from_arrays([pa.array([base + number]), lists], names=["unit", "docs"])
@@ -153,7 +153,8 @@ def _windows(texts: list[bytes | None], blocks: list[bytes] | None, width: int,
 
 
 def remove_repeated_passages(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, with_text: bool = False
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, with_text: bool = False,
+    unit_bytes: int = UNIT_BYTES,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 of the kept words joined by one space, and with
     ``with_text`` the kept words themselves as ``kept_text``.
@@ -164,7 +165,7 @@ def remove_repeated_passages(
         raise ValueError(f"a window has at least {PERIOD} words")
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    units = _stored_units(docs, doc_id, text, ranges)
+    units = _stored_units(docs, doc_id, text, ranges, unit_bytes)
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -225,14 +226,14 @@ def _each(batches: Iterator[pa.RecordBatch]):
             yield tuple(column[row].as_py() for column in batch.columns)
 
 
-def _stored_units(docs: DataFrame, doc_id: str, text: str, buckets: int) -> DataFrame:
+def _stored_units(docs: DataFrame, doc_id: str, text: str, buckets: int, unit_bytes: int) -> DataFrame:
     """Units in the shared folder, bucketed, so that joins with answers move the answers alone."""
     spark = docs.sparkSession
     packed = docs.select(F.struct(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")
     ).alias("doc"))
     item = packed.schema["doc"].dataType.simpleString()
-    units = packed.mapInArrow(_unit_rows, f"unit long, docs array<{item}>")
+    units = packed.mapInArrow(lambda batches: _unit_rows(batches, unit_bytes), f"unit long, docs array<{item}>")
     name = f"units_{uuid.uuid4().hex}"
     (
         units.repartition(buckets, "unit").write.option("path", scratch_path(spark, name))

@@ -77,13 +77,16 @@ def test_links_without_the_lead(spark, monkeypatch):
         chain.append([f"z{k}_{i}" if (k - 1) * 10 <= i < k * 10 else w for i, w in enumerate(chain[-1])])
     texts = [" ".join(c) for c in chain]
     rng.shuffle(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    # one coarse band: nearly all meet in the same bucket
-    monkeypatch.setattr(near_duplicates, "band_keys", lambda sketch, bands, rows: np.zeros(1, np.int64))
+    table = spark.createDataFrame(list(enumerate(texts)), "node bigint, text string")
+    members = table.selectExpr("node", "96 as n_cells", "7L as bucket", "0L as lead", "96 as lead_cells", "9L as n")
     monkeypatch.setattr(near_duplicates, "BLOCK", 2)
-    found = near_duplicates.near_duplicate_classes(docs, bands=1, band_rows=4, threshold=0.7)
-    want = brute.near_classes(list(enumerate(texts)), 0.7)
-    assert rows_of(found, "doc_id", "class_id") == sorted(want, key=str)
+    links = near_duplicates._links_to_leads(members, table, 0.7)
+    parts = near_duplicates.connected_components(links)
+    more = near_duplicates._links_between_parts(members, parts, table, 0.7)
+    parts = near_duplicates.connected_components(links.unionByName(more))
+    want = dict(brute.near_classes(list(enumerate(texts)), 0.7))
+    assert links.count() < 4 and set(want.values()) == {0}
+    assert {r["node"]: r["component"] for r in parts.collect()} == want
 
 
 def test_signatures_estimate_weighted_jaccard():
@@ -356,9 +359,8 @@ def test_difference_cover():
 
 
 @pytest.mark.parametrize("unit_bytes", [1_000_000, 400])
-def test_repeated_passages(docs, monkeypatch, unit_bytes):
-    monkeypatch.setattr(repeated_passages, "UNIT_BYTES", unit_bytes)
-    found = repeated_passages.remove_repeated_passages(docs)
+def test_repeated_passages(docs, unit_bytes):
+    found = repeated_passages.remove_repeated_passages(docs, unit_bytes=unit_bytes)
     want = [(i, *r) for (i, _), r in zip(corpus(), brute.passages([t for _, t in corpus()]), strict=True)]
     assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(want, key=str)
 
