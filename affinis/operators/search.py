@@ -15,6 +15,8 @@ from affinis.session import cut_lineage
 
 # A key with more answers than this is not used to find candidates while rarer keys suffice.
 HOT_KEY = 20_000
+# Queries that are not settled yet try again with so many times the bound.
+HOT_STEP = 4
 _MARGIN = 1e-6  # bounds are compared with room for rounding
 
 
@@ -41,8 +43,9 @@ def search_top(
     from the other keys, and hot parts are added to candidates alone. For a query that is exact
     if its n-th best candidate must stay above the most that hot keys can give to an answer
     which is no candidate. A query that fails this test but has one hot key takes the first
-    answers of that key as further candidates. The other queries run over all their keys, so
-    the result is always the full one.
+    answers of that key as further candidates. The other queries run again with a higher bound, so that their
+    rarer hot keys spread, and so on until all are settled: the result is always the full one, and a key
+    spreads only for queries that need it.
     """
 
     def answers(q: DataFrame, p: DataFrame) -> DataFrame:
@@ -104,6 +107,13 @@ def search_top(
         .select("query", "other", (F.col("q") * F.col("impact")).alias("score"))
     )
     lifted = pairs.unionByName(added).groupBy("query", "other").agg(F.sum("score").alias("score"))
-    in_full = answers(queries.join(unsafe, "query", "left_semi"), postings)
-    scores = without_hot.unionByName(lifted).unionByName(in_full)
-    return top_k(scores, ["query"], "score", ["other"], n)
+    ranked = top_k(without_hot.unionByName(lifted), ["query"], "score", ["other"], n)
+    unsafe = cut_lineage(unsafe)
+    if unsafe.isEmpty():
+        return ranked
+    # With a higher bound fewer keys are hot: candidates come from more keys, rarest first, and less is left
+    # that could lift an answer past the n-th.
+    again = search_top(
+        queries.join(unsafe, "query", "left_semi"), postings, n, exclude, signed, hot_key * HOT_STEP
+    )
+    return ranked.unionByName(again.select(*ranked.columns))
