@@ -71,7 +71,9 @@ def unzipped(data: bytes) -> bytes:
 
 
 def arc_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Position, header fields and content of every record after the version block."""
+    """Position, header fields and content of every record after the version block; an empty file has none."""
+    if not data:
+        return
     line, at = _line(data, 0)
     if not line.startswith(b"filedesc://"):
         raise ArchiveError("no version block")
