@@ -30,7 +30,8 @@ CHUNK, OVERLAP = 512, 64
 EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 4, 24
 LAGS, LAG_WIDTH, LAG_STRIDE, LAG_FILTERS = 17, 16, 8, 8
 HIDDEN = 16
-PASSES, BATCH, RATE = 6, 64, 4e-3
+#: A small sample is passed more often, up to the least number of steps.
+PASSES, LEAST_STEPS, BATCH, RATE = 6, 300, 64, 4e-3
 #: Chunks scored at once; bounds a worker's memory.
 BLOCK_CHUNKS = 64
 
@@ -126,8 +127,10 @@ def train(texts: list[bytes | None], labels: list[int], seed: int = 7) -> Networ
     w["out_bias"][:] = np.log(share / (1 - share))
     all_chunks = [chunks(t) for t in texts]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
-    step, steps = 0, PASSES * -(-len(y) // BATCH)
-    for _ in range(PASSES):
+    in_pass = -(-len(y) // BATCH)
+    passes = max(PASSES, -(-LEAST_STEPS // in_pass))
+    step, steps = 0, passes * in_pass
+    for _ in range(passes):
         order = rng.permutation(len(y))
         for first in range(0, len(order), BATCH):
             picked = order[first:first + BATCH]
