@@ -135,7 +135,7 @@ def _gain(bad: int, good: int, bad_before: int, good_before: int) -> float:
 
 def _grown(rows: DataFrame, places: list[Column], edges: dict[str, list[float]], most: int) -> Rule | None:
     conditions: list[Condition] = []
-    while len(conditions) < most:
+    for _ in range(most):
         inside = rows.where(Rule(tuple(conditions)).column()) if conditions else rows
         counts = inside.select("bad", F.inline(F.array(*places))).groupBy("feature", "bin").agg(
             F.count_if("bad").alias("bad"), F.count("*").alias("n")
@@ -158,7 +158,8 @@ def _grown(rows: DataFrame, places: list[Column], edges: dict[str, list[float]],
                         best, best_gain = Condition(feature, above, cut), gain
         if best is None:
             break
-        conditions.append(best)
+        # a sharper threshold takes the place of the one before it
+        conditions = [c for c in conditions if (c.feature, c.above) != (best.feature, best.above)] + [best]
     return Rule(tuple(conditions)) if conditions else None
 
 
