@@ -6,8 +6,8 @@ the row with the least room that still takes it, found in a segment tree over ro
 the width is cut into full pieces and a remainder, losslessly.
 
 A matrix is stored as one table row: ids in row order as little-endian unsigned 16 or 32 bit numbers, padded with
-``pad``; the cumulative lengths of its segments in flat order, which start anew with every row of the matrix;
-position ids, which restart at 0 with every segment; and for each segment its document, piece and place.
+``pad``; the cumulative lengths of its segments in flat order, which start anew with every row of the matrix; the flat
+places at which positions restart at 0; and for each segment its document, piece and place.
 
 Null and empty texts have no ids: they are listed as one segment of length 0 that takes no place. Repeated rows
 are packed as often as they occur. Vocabulary files are read by the driver and sent to the tasks; a vocabulary
@@ -85,13 +85,13 @@ def best_fit_decreasing(lengths: Iterable[int], width: int) -> list[tuple[int, i
 
 
 MATRIX = (
-    "width int, n_rows int, ids binary, cu_seqlens array<int>, position_ids binary, "
+    "width int, n_rows int, ids binary, cu_seqlens array<int>, position_resets array<int>, "
     "segments array<struct<doc_id:{id},piece:int,start:long,length:int,row:int,offset:int>>"
 )
 
 
 def pack_chunk(ids: list[np.ndarray], docs: list[int], width: int, pad: int) -> Iterator[tuple]:
-    """Matrices of one chunk: (ids, cumulative lengths, positions, segments), segments as
+    """Matrices of one chunk: (ids, cumulative lengths, position resets, segments), segments as
     (index into ``docs``, piece, start, length, row, offset)."""
     pieces = [
         (min(width, len(own) - start), at, piece, start)
@@ -103,20 +103,18 @@ def pack_chunk(ids: list[np.ndarray], docs: list[int], width: int, pad: int) ->
         pieces, best_fit_decreasing([p[0] for p in pieces], width), strict=True
     ):
         by_row.setdefault(row, []).append((offset, length, at, piece, start))
-    ramp = np.arange(width, dtype=np.int32)
     for first in range(0, len(by_row), MATRIX_ROWS):
         rows = range(first, min(first + MATRIX_ROWS, len(by_row)))
         matrix = np.full((len(rows), width), pad, ids[0].dtype)
-        positions = np.zeros((len(rows), width), np.int32)
-        cumulative, segments = [], []
+        cumulative, resets, segments = [], [], []
         for line, row in enumerate(rows):
             cumulative.append(line * width)
             for offset, length, at, piece, start in by_row[row]:
                 matrix[line, offset:offset + length] = ids[at][start:start + length]
-                positions[line, offset:offset + length] = ramp[:length]
+                resets.append(line * width + offset)
                 cumulative.append(line * width + offset + length)
                 segments.append((at, piece, start, length, line, offset))
-        yield matrix, cumulative, positions, segments
+        yield matrix, cumulative, resets, segments
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -168,24 +166,24 @@ def token_matrices(
 
 
 def _chunk(names: list, ids: list[np.ndarray], id_type: pa.DataType, width: int, pad: int) -> Iterator[pa.RecordBatch]:
-    parts = [(m.shape[0], m.astype(m.dtype.newbyteorder("<")).tobytes(), c, p.astype("<i4").tobytes(), s)
+    parts = [(m.shape[0], m.astype(m.dtype.newbyteorder("<")).tobytes(), c, p, s)
              for m, c, p, s in pack_chunk(ids, names, width, pad)]
     empty = [(at, 0, 0, 0, None, None) for at, own in enumerate(ids) if not len(own)]
     if not parts:
-        parts = [(0, b"", [], b"", [])]
+        parts = [(0, b"", [], [], [])]
     parts[-1] = (*parts[-1][:4], parts[-1][4] + empty)
     segment = pa.struct([
         ("doc_id", id_type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()),
         ("row", pa.int32()), ("offset", pa.int32()),
     ])
     keys = ("piece", "start", "length", "row", "offset")
-    for rows, matrix, cumulative, positions, segments in parts:
+    for rows, matrix, cumulative, resets, segments in parts:
         listed = [{"doc_id": names[s[0]].as_py()} | dict(zip(keys, s[1:], strict=True)) for s in segments]
         yield pa.RecordBatch.from_arrays([
             pa.array([width], pa.int32()), pa.array([rows], pa.int32()), pa.array([matrix], pa.binary()),
-            pa.array([cumulative], pa.list_(pa.int32())), pa.array([positions], pa.binary()),
+            pa.array([cumulative], pa.list_(pa.int32())), pa.array([resets], pa.list_(pa.int32())),
             pa.array([listed], pa.list_(segment)),
-        ], names=["width", "n_rows", "ids", "cu_seqlens", "position_ids", "segments"])
+        ], names=["width", "n_rows", "ids", "cu_seqlens", "position_resets", "segments"])
 
 
 SEGMENT = "doc_id {id}, piece int, start long, length int, row int, offset int, ids_crc32 long"
@@ -194,26 +192,26 @@ SEGMENT = "doc_id {id}, piece int, start long, length int, row int, offset int,
 def read_segments(matrices: DataFrame) -> DataFrame:
     """Segments of stored matrices, taken from the binary columns again (``SEGMENT``).
 
-    ``ids_crc32`` is that of the segment's little-endian ids. A segment whose positions do not run from 0, or whose
-    end is not in the cumulative lengths, is an error.
+    ``ids_crc32`` is that of the segment's little-endian ids. A segment that does not begin at a position reset
+    and end at a cumulative length is an error.
     """
     id_type = matrices.schema["segments"].dataType.elementType["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                width, n_rows, ids, cumulative, positions = (
-                    batch.column(c)[at].as_py() for c in ("width", "n_rows", "ids", "cu_seqlens", "position_ids")
+                width, n_rows, ids, cumulative, resets = (
+                    batch.column(c)[at].as_py() for c in ("width", "n_rows", "ids", "cu_seqlens", "position_resets")
                 )
                 size = len(ids) // (width * n_rows) if n_rows else 0
-                places, ends = np.frombuffer(positions, "<i4"), set(cumulative)
+                starts, ends = set(resets), set(cumulative)
                 segments = batch.column("segments")[at].values
                 checks = []
                 for length, row, offset in zip(
                     *(segments.field(c).to_pylist() for c in ("length", "row", "offset")), strict=True
                 ):
                     start = row * width + offset if length else 0
-                    if length and (start + length not in ends or (places[start:start + length] != np.arange(length)).any()):
+                    if length and (start not in starts or start + length not in ends):
                         raise ValueError(f"row {row} of a matrix has a broken segment at {offset}")
                     checks.append(zlib.crc32(ids[start * size:(start + length) * size]))
                 yield pa.RecordBatch.from_arrays(
