@@ -169,13 +169,14 @@ def near_duplicate_classes(
     more = cut_lineage(_links_between_parts(members, met, texts, threshold))
     parts = connected_components(links.unionByName(more)) if more.head(1) else met
 
-    owned = sketched.select("doc_id", "text_hash", "node").join(parts, "node", "left").select(
+    owned = cut_lineage(sketched.select("doc_id", "text_hash", "node").join(parts, "node", "left").select(
         "doc_id", "text_hash", "node", F.coalesce("component", "node").alias("part")
-    )
+    ))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    classes = owned.where("part is not null").groupBy("part").agg(
+    # combined in the tasks that read the rows, then a table of its own: the join below may split a large class
+    classes = cut_lineage(owned.where("part is not null").groupBy("part").agg(
         F.min("doc_id").alias("class_id"), F.min(place).alias("first"), F.count("*").alias("n_rows")
-    )
+    ))
     return owned.join(classes, "part", "left").select(
         "doc_id", "text_hash", "node",
         F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -195,10 +196,12 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **op
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.col(doc_id).alias("own_id"), F.xxhash64(F.col(text)).alias("own_hash"),
     )
-    found = packed.join(
-        first, F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("own_hash") == F.col("first_hash"))
+    # repeated rows collapse in the tasks that read them, before any of them moves
+    found = packed.dropDuplicates(["own_id", "own_hash"]).join(
+        first, F.col("own_id").eqNullSafe(F.col("first_id")) & F.col("own_hash").eqNullSafe(F.col("first_hash")),
+        "left_semi",
     )
-    return found.dropDuplicates(["first_id", "first_hash"]).select(*[F.col("row").getField(c).alias(c) for c in names])
+    return found.select(*[F.col("row").getField(c).alias(c) for c in names])
 
 
 def _texts_of(wanted: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
