@@ -107,7 +107,7 @@ def _shared(table: pa.Table) -> pa.Table:
     several = np.unique(every[1:][every[1:] == every[:-1]])
     out_units, out = [], []
     for unit, block in zip(units, blocks, strict=True):
-        found = block[np.isin(block, several, assume_unique=True)]
+        found = block[_in(block, several)]
         if len(found):
             out_units.append(unit)
             out.append(found.tobytes())
