@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from affinis.llm import (
     archives, decontamination, near_duplicates, packing, quality_classifier, quality_rules, repeated_passages, secrets,
-    sharding, text_stats, token_packing,
+    sharding, text_stats, token_packing, vector_codes,
 )
 from affinis.session import cut_lineage, scratch_path
 
@@ -100,11 +100,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, codebooks = vector_codes.vector_codes(vectors)
+    return vector_codes.with_label_error(coded).select(
+        "row.vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_decontamination, op3_best_fit_packing, op4_quality_rules, op5_sharding,
-        op6_arc_to_warc, op7_token_packing, op8_secrets, op9_repeated_passages, op10_quality_classifier,
+        op6_arc_to_warc, op7_token_packing, op8_secrets, op9_repeated_passages, op10_quality_classifier, op13_vector_codes,
     )
 }
 
@@ -113,6 +122,38 @@ _FOLDED = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+
+def _codes_sql() -> str:
+    """k-means in whole numbers: two rounds of assignment and floored means, then a last assignment."""
+    steps = []
+    for k in range(3):
+        steps.append(f"""
+        d{k} AS (
+          SELECT r, p, e, sum((v.x - b.x) * (v.x - b.x)) AS d FROM v JOIN b{k} b USING (p, i) GROUP BY ALL),
+        a{k} AS (SELECT r, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM d{k} GROUP BY r, p)""")
+        if k < 2:
+            steps.append(f"""
+        m{k} AS (SELECT p, e, i, sum(x) AS s, count(*) AS n FROM a{k} JOIN v USING (r, p) GROUP BY p, e, i),
+        b{k + 1} AS (
+          SELECT p, e, i, CASE WHEN n IS NULL THEN x ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS x
+          FROM b{k} LEFT JOIN m{k} USING (p, e, i))""")
+    return f"""
+        WITH k AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS r, vec_id, label, embedding FROM embeddings
+          WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS MATERIALIZED (
+          SELECT r, j // n AS p, j % n AS i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM (
+            SELECT r, len(embedding) // 16 AS n, unnest(generate_series(0, len(embedding) - 1)) AS j,
+                   unnest(embedding) AS x FROM k)),
+        b0 AS (SELECT p, r AS e, i, x FROM v WHERE r < 64), {",".join(steps)},
+        c AS (SELECT r, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code,
+                     CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) FROM b2) AS codebooks_sha256
+        FROM k JOIN c USING (r)"""
+
+
 #: SQL for the operators whose result SQL can state; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op2_decontamination": f"""
@@ -162,4 +203,5 @@ ORACLE: dict[str, str] = {
           FROM words ANTI JOIN gone USING (r, pos) GROUP BY 1)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
                sha256(coalesce(body, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
+    "op13_vector_codes": _codes_sql(),
 }
