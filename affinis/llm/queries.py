@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.llm import (
-    archives, decontamination, near_duplicates, packing, quality_classifier, quality_rules, repeated_passages, secrets,
-    sharding, text_stats, token_packing, vector_codes,
+    archives, conversation_repair, decontamination, near_duplicates, packing, quality_classifier, quality_rules,
+    repeated_passages, secrets, sequence_packing, sharding, text_stats, token_packing, vector_codes,
 )
 from affinis.session import cut_lineage, scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: A file of the public tokenizers, read by the driver.
+WORD_VOCABULARY = "word_bpe_49k.json"
 SHARDS = 24
 
 
@@ -100,6 +102,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair_report(conversation_repair.damaged(conversations), ids=conversations)
+
+
+def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = sequence_packing.read_vocabulary(public_tokenizers.path(WORD_VOCABULARY))
+    return sequence_packing.pack_sequences(docs, vocabulary)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     coded, codebooks = vector_codes.vector_codes(vectors)
@@ -113,7 +128,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_decontamination, op3_best_fit_packing, op4_quality_rules, op5_sharding,
-        op6_arc_to_warc, op7_token_packing, op8_secrets, op9_repeated_passages, op10_quality_classifier, op13_vector_codes,
+        op6_arc_to_warc, op7_token_packing, op8_secrets, op9_repeated_passages, op10_quality_classifier, op11_conversation_repair, op12_sequence_packing,
+        op13_vector_codes,
     )
 }
 
@@ -154,6 +170,82 @@ def _codes_sql() -> str:
         FROM k JOIN c USING (r)"""
 
 
+def _repair_sql() -> str:
+    """The cheapest edits row by row: for each state the least of cost and audit, as eight digits and the edits."""
+
+    def more(x: str, cost: str, edit: str) -> str:
+        return f"printf('%08d', CAST(substr({x}, 1, 8) AS BIGINT) + {cost}) || substr({x}, 9) || '{edit}'"
+
+    inserted = (
+        f"least(u, {more('e', '5', 'I')}, {more('s', '5', 'I')}, {more('a', '5', 'I')}) AS cu, "
+        f"least(a, {more('u', '5', 'I')}, {more('e', '10', 'II')}, {more('s', '10', 'II')}) AS ca"
+    )
+
+    def turned(x: str, initial: str) -> str:
+        return (f"CASE WHEN gone THEN NULL WHEN k = '{initial}' THEN {more(x, 'late', 'K')} "
+                f"ELSE {more(x, 'late + 1', 'R')} END")
+
+    return rf"""
+        WITH RECURSIVE tab AS (
+          SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+                     CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+            FROM (SELECT unnest(range(256)) AS i))),
+        n AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+          FROM conversations),
+        f AS (
+          SELECT n.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''),
+                   lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295)
+                 % 20 AS fault FROM n, tab),
+        d AS (
+          SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+                 CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                 unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f WHERE fault <> 0),
+        o AS MATERIALIZED (
+          SELECT *, lag(k) OVER (PARTITION BY cid ORDER BY i) AS k0, blank OR again AS gone,
+                 CASE WHEN NOT blank AND NOT again AND ends NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS late FROM (
+           SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 AS again FROM (
+            SELECT dense_rank() OVER (ORDER BY conv_id) AS cid, conv_id, turn, role, text, role[1:1] AS k,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+                   NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+                   right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ends FROM d))),
+        v AS (
+          SELECT DISTINCT cid, CAST(0 AS BIGINT) AS i, '00000000' AS e, CAST(NULL AS VARCHAR) AS s,
+                 CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM o
+          UNION ALL
+          SELECT cid, i, {more('e', '2', 'D')},
+                 least({more('s', '2', 'D')}, CASE WHEN k = 's' AND NOT gone THEN {more('e', 'late', 'K')} END),
+                 least({more('cu', '2', 'D')}, {turned('least(e, s, ca)', 'u')}),
+                 least({more('ca', '2', 'D')}, {turned('cu', 'a')})
+          FROM (SELECT v.cid, o.i, e, s, {inserted}, k, gone, late FROM v JOIN o ON v.cid = o.cid AND o.i = v.i + 1)),
+        w AS (SELECT cid, least(e, ca) AS best FROM (SELECT *, {inserted} FROM v)
+              JOIN (SELECT cid, max(i) AS i FROM o GROUP BY cid) USING (cid, i)),
+        p AS (
+          SELECT cid, ch, sum(CASE ch WHEN 'I' THEN 0 ELSE 1 END) OVER b AS i,
+                 sum(CASE ch WHEN 'D' THEN 0 ELSE 1 END) OVER b AS place, odd FROM (
+            SELECT cid, unnest(string_split(best[9:], '')) AS ch, generate_subscripts(string_split(best[9:], ''), 1) AS pos,
+                   length(replace(best[9:], 'D', '')) % 2 AS odd FROM w)
+          WINDOW b AS (PARTITION BY cid ORDER BY pos)),
+        r AS (
+          SELECT p.cid, string_agg(
+                   CASE WHEN ch = 'K' THEN role WHEN (place - 1 - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                   || ':' || CASE ch WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY place) AS body
+          FROM p LEFT JOIN o ON p.cid = o.cid AND p.i = o.i AND ch <> 'I' WHERE ch <> 'D' GROUP BY p.cid),
+        c AS (
+          SELECT cid, conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count_if(blank) AS blank, count_if(NOT blank AND again) AS duplicate, count_if(late > 0) AS truncated,
+                 count_if(k0 IS NOT NULL AND k0 || k NOT IN ('su', 'ua', 'au')) AS illegal FROM o GROUP BY cid, conv_id)
+        SELECT q.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+               CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+               CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(CAST(best[:8] AS BIGINT), 0) AS cost,
+               coalesce(best[9:], '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN c ON q.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN w USING (cid) LEFT JOIN r USING (cid)"""
+
+
 #: SQL for the operators whose result SQL can state; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op2_decontamination": f"""
@@ -203,5 +295,6 @@ ORACLE: dict[str, str] = {
           FROM words ANTI JOIN gone USING (r, pos) GROUP BY 1)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
                sha256(coalesce(body, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
+    "op11_conversation_repair": _repair_sql(),
     "op13_vector_codes": _codes_sql(),
 }
