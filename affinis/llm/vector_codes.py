@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, LongType, StructField, StructType
 
 from affinis.session import cut_lineage
 
@@ -218,7 +218,7 @@ def vector_codes(
 def decode(coded: DataFrame, codebooks: np.ndarray, out: str = "vector") -> DataFrame:
     """``coded`` (a column ``codes`` among others) with the vector its codes stand for."""
     books = (codebooks / SCALE).astype(np.float32)
-    schema = StructType([*coded.schema.fields]).add(out, "array<float>")
+    schema = StructType([*coded.schema.fields]).add(out, ArrayType(FloatType()))
     at = coded.columns.index("codes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
