@@ -114,8 +114,33 @@ def pack_group(lengths: list[int], width: int = WIDTH) -> list[tuple[int, int, i
     return out
 
 
+#: Bytes that texts are cut at; ASCII capitals fold, as the vocabulary's own normaliser does first of all.
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_SPECIAL = b"<|"  # special tokens are found before folding
+_SIGNS = b".,;:!?"
+_BETWEEN, _JOIN = b"\x01", b" \x01 "
+#: UTF-8 lead bytes of U+00C0 to U+023F: letters, but for two signs.
+_LATIN = range(0xC3, 0xC9)
+
+
+def _head(word: bytes) -> bytes:
+    """The word without the signs at its end, if it ends there in a letter or digit that nothing joins to them.
+
+    The vocabulary's own rule then makes at least one token of the head and one of the signs.
+    """
+    head = word.rstrip(_SIGNS)
+    if not head or len(head) == len(word):
+        return word
+    last = head[-1]
+    if last < 0x80:
+        return head if head[-1:].isalnum() else word
+    if len(head) > 1 and head[-2] in _LATIN and head[-2:] not in (b"\xc3\x97", b"\xc3\xb7"):
+        return head
+    return word
+
+
 class WordIds(dict):
-    """Ids of words as NumPy arrays, each tokenised once."""
+    """Ids of words as bytes, each tokenised once."""
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task
@@ -123,29 +148,49 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        (self.between,) = self.tokenizer.encode(_BETWEEN.decode(), add_special_tokens=False).ids
 
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
+    def learn(self, words: set[bytes]) -> None:
+        """Adds ids of new words; signs after a word are tokenised apart from it, so the word is met once."""
+        new = words - self.keys()
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
-            new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
-
-    def of(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-        """Little-endian 32-bit ids of texts, each with the end id."""
-        split = [ascii_words(t) for t in texts]
+            new = words
+        heads = {word: _head(word) for word in new}
+        plain = set(heads.values())
+        plain.update(word[len(head):] for word, head in heads.items() if len(head) < len(word))
+        self._tokenise(list(plain - self.keys()))
+        for word, head in heads.items():
+            if len(head) < len(word):
+                self[word] = self[head] + self[word[len(head):]]
+
+    def _tokenise(self, words: list[bytes]) -> None:
+        """Ids of many words a call, told apart by the id of a sign between them that none of them has."""
+        encode = self.tokenizer.encode_batch_fast
+        some = [w for w in words if _BETWEEN not in w]
+        lines = [some[k:k + 64] for k in range(0, len(some), 64)] + [[w] for w in words if _BETWEEN in w]
+        texts = [_JOIN.join(line).decode() for line in lines]
+        for line, found in zip(lines, encode(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            raw, at = ids.tobytes(), 0
+            ends = np.flatnonzero(ids == self.between) if len(line) > 1 else ()
+            for word, end in zip(line, [*(4 * k for k in ends), len(raw)], strict=True):
+                self[word] = raw[at:end]
+                at = end + 4
+
+    def of(self, texts: list[bytes | None], end_id: int) -> list[np.ndarray]:
+        """Little-endian 32-bit ids of UTF-8 texts, each with the end id."""
+        split = [spaced_words(t) for t in texts]
         self.learn(set().union(*split))
         end = np.array([end_id], "<u4").tobytes()
         return [np.frombuffer(b"".join(map(self.__getitem__, words)) + end, "<u4") for words in split]
 
 
-#: White space at which texts are cut for tokenising; others stay inside what is tokenised.
-_SPACES = str.maketrans("\t\n\r", "   ")
-
-
-def ascii_words(text: str | None) -> list[str]:
-    return [w for w in text.translate(_SPACES).split(" ") if w] if text else []
+def spaced_words(text: bytes | None) -> list[bytes]:
+    """Runs of anything but ASCII white space."""
+    if not text:
+        return []
+    return text.split() if _SPECIAL in text else text.translate(_FOLD).split()
 
 
 PIECE = (
@@ -161,7 +206,7 @@ def read_vocabulary(path: str) -> str:
 
 def grouped_documents(docs: DataFrame, doc_id: str, text: str, group_bytes: int) -> DataFrame:
     """(part, row, doc_id, text), part being a random group."""
-    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
     size = narrow.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
     n_groups = max(1, -(-size // group_bytes))
     numbered = narrow.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")

@@ -72,6 +72,7 @@ def test_odd_rows(spark, whole_ids):
         (9000, "a\x0bb\x0cc\x85d e f\x1cg"), (9001, "x" * 5000), (9002, "İΣ ΟΔΟΣ ς"), (9003, "e ́é"),
         (9004, "<|endoftext|>word <|startoftext|> <|ENDOFTEXT|>"), (9005, "it's I'M 12 3!? 中文 字"), (9006, "\t\r\n "),
     ]
+    odd += [(9007, "a\x01b \x01 \x01\x01. c\x01"), (9008, "é., é×. ×. 9!? e\u0301. ŉ. ß.), x)., ."), (9009, "Word. WORD, word; WoRd:?! <|")]
     texts = corpus() + odd
     docs = spark.createDataFrame([(i, t, "s", "en", "r", 1, 2, 0.5) for i, t in texts], SCHEMA).repartition(3)
     vocabulary = sequence_packing.read_vocabulary(PATH)
