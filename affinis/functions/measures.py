@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -137,3 +138,70 @@ def as_measure(measure: str | Measure | Callable[[Column], Column]) -> Measure:
     if isinstance(measure, Measure):
         return measure
     return Measure(measure, needs_marginals=True, needs_total=True)
+
+
+def _part(numerator, denominator):
+    """Division of arrays that gives nan where the denominator is 0."""
+    numerator, denominator = np.broadcast_arrays(np.asarray(numerator, float), np.asarray(denominator, float))
+    return np.divide(numerator, denominator, out=np.full(numerator.shape, np.nan), where=denominator != 0)
+
+
+def _x_log_x(x):
+    x = np.asarray(x, float)
+    return np.where(x > 0, x * np.log(np.where(x > 0, x, 1.0)), 0.0)
+
+
+def _array_pearson(s):
+    n, a, b = s("n"), s("sum_a"), s("sum_b")
+    var_a, var_b = n * s("sum_aa") - a * a, n * s("sum_bb") - b * b
+    root = np.sqrt(np.maximum(var_a, 0)) * np.sqrt(np.maximum(var_b, 0))
+    return np.where((var_a > 0) & (var_b > 0), _part(n * s("sum_ab") - a * b, root), np.nan)
+
+
+def _array_advanced(s):
+    n, others = s("n"), s("total") - s("n_a")
+    without_a = s("n_b") - n
+    score = np.where(without_a == 0, np.inf, _part(n / s("n_a") * others, without_a))
+    return np.full(n.shape, np.nan) if others == 0 else score
+
+
+def _array_llr(s):
+    n, n_a, n_b, total = s("n"), s("n_a"), s("n_b"), s("total")
+    a, b, d, e = n, n_a - n, n_b - n, total - n_a - n_b + n
+    rows, columns = _x_log_x(a + b) + _x_log_x(d + e), _x_log_x(a + d) + _x_log_x(b + e)
+    matrix = _x_log_x(a) + _x_log_x(b) + _x_log_x(d) + _x_log_x(e)
+    g2 = np.maximum(0.0, 2.0 * (matrix + _x_log_x(a + b + d + e) - rows - columns))
+    return 1.0 - 1.0 / (1.0 + g2)
+
+
+def _array_weighted(plain):
+    def score(s):
+        found, w = plain(s), 1.0 - s("n") / (s("total") + 1)
+        return np.where(found < 0, -1.0 + w * (1.0 + found), 1.0 - w * (1.0 - found))
+
+    return score
+
+
+def _array_cosine(s):
+    return _part(s("sum_ab"), np.sqrt(s("sum_aa")) * np.sqrt(s("sum_bb")))
+
+
+#: The measures of ``MEASURES`` over arrays: a function of the named statistic, nan where undefined.
+_ARRAYS = {
+    "assoc_basic": lambda s: s("n") / s("n_a"),
+    "assoc_advanced": _array_advanced,
+    "pearson": _array_pearson,
+    "pearson_w": _array_weighted(_array_pearson),
+    "euclidean": lambda s: 1.0 / (1.0 + np.sqrt(np.maximum(0.0, s("sum_aa") - 2 * s("sum_ab") + s("sum_bb"))) / np.sqrt(s("n"))),
+    "cosine": _array_cosine,
+    "cosine_w": _array_weighted(_array_cosine),
+    "full_cosine": lambda s: _part(s("sum_ab"), np.sqrt(s("ss_a")) * np.sqrt(s("ss_b"))),
+    "manhattan": lambda s: 1.0 / (1.0 + (s("n_a") + s("n_b") - 2 * s("n"))),
+    "tanimoto": lambda s: _part(s("n"), s("n_a") + s("n_b") - s("n")),
+    "llr": _array_llr,
+}
+
+
+def array_measure(name: str, statistic: Callable[[str], np.ndarray]) -> np.ndarray:
+    """A named measure of many pairs at once; only the statistics it reads are asked for."""
+    return _ARRAYS[name](statistic)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.operators.dictionary import dictionary
 from affinis.operators.joins import grid_join
+from affinis.operators.neighbours import neighbours
 from affinis.operators.pairs import (
     centred,
     centred_cosine,
@@ -17,7 +18,7 @@ from affinis.operators.pairs import (
     similarity_table,
     user_means,
 )
-from affinis.operators.search import HOT_KEY, search_top
+from affinis.operators.search import BLOCK_ROWS, search_top
 from affinis.operators.topk import above, top_k
 from affinis.session import cut_lineage
 
@@ -31,18 +32,18 @@ def unseen(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
     return candidates.join(ratings.select(*PAIR), PAIR, "left_anti")
 
 
-def associated_items(ratings: DataFrame, n: int, hot_user: int = HOT_KEY) -> DataFrame:
+def associated_items(ratings: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Top ``n`` items per item by the share of its users who have the other item too.
 
-    Equals ``similar_items`` with basic association, but builds no table of all pairs: users with
-    more than ``hot_user`` items do not spread into item pairs, see ``search_top``.
+    Equals ``similar_items`` with basic association, but builds no table of all pairs: items are searched in
+    blocks of about ``block_rows`` ratings, see ``search_top``.
     """
     prefs = ratings.select("user_id", "item_id")
     one = F.lit(1.0)
     found = search_top(
         prefs.select(F.col("item_id").alias("query"), F.col("user_id").alias("key"), one.alias("q")),
         prefs.select(F.col("item_id").alias("other"), F.col("user_id").alias("key"), one.alias("impact")),
-        n, hot_key=hot_user,
+        n, block_rows=block_rows,
     )
     sizes = prefs.groupBy(F.col("item_id").alias("query")).agg(F.count("*").alias("_n"))
     return found.join(sizes, "query").select(
@@ -52,9 +53,8 @@ def associated_items(ratings: DataFrame, n: int, hot_user: int = HOT_KEY) -> Dat
 
 
 def similar_items(ratings: DataFrame, n: int, measure="assoc_basic") -> DataFrame:
-    """Top ``n`` similar items per item: ``(item_id, other_id, score, rank)``."""
-    sims = similarity_table(ratings, "item", measure, both_directions=True)
-    return top_items(sims, n)
+    """Top ``n`` similar items per item: ``(item_id, other_id, score, rank)``; no table of all pairs arises."""
+    return top_items(neighbours(ratings, "item", measure, n=n), n)
 
 
 def top_items(sims: DataFrame, n: int) -> DataFrame:
@@ -64,33 +64,87 @@ def top_items(sims: DataFrame, n: int) -> DataFrame:
     return top_k(renamed, ["item_id"], "score", ["other_id"], n)
 
 
+def similar_centred_items(ratings: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Top ``n`` items per item by the cosine of mean-centred ratings: ``(item_id, other_id, score, rank)``.
+
+    Equals ``top_items`` over ``centred_cosine``: with every item's rows at length 1 the cosine is a sum of
+    products, so ``search_top`` finds it. Items whose centred ratings are all 0 have no similarity.
+    """
+    rows = centred(ratings, positive_only=True)
+    squares = rows.groupBy("item_id").agg(F.sum(F.col("centred") * F.col("centred")).alias("_ss")).filter("_ss > 0")
+    units = cut_lineage(rows.join(squares, "item_id").select(
+        "item_id", F.col("user_id").alias("key"), (F.col("centred") / F.sqrt("_ss")).alias("w")
+    ))
+    found = search_top(
+        units.select(F.col("item_id").alias("query"), "key", F.col("w").alias("q")),
+        units.select(F.col("item_id").alias("other"), "key", F.col("w").alias("impact")), n, block_rows=block_rows,
+    )
+    return found.select(F.col("query").alias("item_id"), F.col("other").alias("other_id"), "score", "rank")
+
+
+def fill_lists(
+    lists: DataFrame, taken: DataFrame, ids: DataFrame, n: int, owner: str = "item_id", other: str = "other_id"
+) -> DataFrame:
+    """Lists of fewer than ``n`` entries filled up with score-0 ids: ``(owner, other, score, rank)``.
+
+    ``lists(owner, other, score)``; every owner of ``lists`` or ``taken(owner, other)`` has one. A list gets the
+    lowest of ``ids`` (one column) that are neither in it nor in ``taken``. Ids are numbered in order, so the taken
+    ones of an owner leave gaps of known length between each other, and the lowest free ids are read off the
+    first gaps, as many as the list lacks: nothing of the size owners x ids arises.
+    """
+    rows = cut_lineage(lists.select(owner, other, "score"))
+    have = rows.groupBy(owner).agg(F.count("*").alias("_have"))
+    owners = taken.select(owner).unionByName(rows.select(owner)).distinct()
+    short = cut_lineage(
+        owners.join(have, owner, "left").select(owner, (n - F.coalesce("_have", F.lit(0))).alias("_lack")).filter("_lack > 0")
+    )
+    numbered = cut_lineage(dictionary(ids.toDF("_id").distinct(), "_id", "_place"))
+    size = numbered.agg(F.count("*").alias("n")).first()["n"]
+    both = taken.select(owner, other).unionByName(rows.select(owner, other)).distinct().join(short, owner)
+    placed = both.join(numbered, F.col(other) == F.col("_id")).select(owner, "_place", "_lack")
+    order = Window.partitionBy(owner).orderBy("_place")
+    # taken places with as many free ones before them as the list lacks end the search
+    ends = placed.withColumn("_free", F.col("_place") - F.row_number().over(order) + 1)
+    before = ends.withColumn("_from", F.coalesce(F.lag("_place").over(order) + 1, F.lit(0))).withColumn(
+        "_free_before", F.coalesce(F.lag("_free").over(order), F.lit(0))
+    ).filter((F.col("_free") > F.col("_free_before")) & (F.col("_free_before") < F.col("_lack")))
+    gaps = before.select(owner, "_from", F.col("_place").alias("_to"), (F.col("_lack") - F.col("_free_before")).alias("_want"))
+    # behind the last taken place, or from 0 on where nothing is taken
+    last = placed.groupBy(owner).agg(F.max("_place").alias("_last"), F.count("*").alias("_n"))
+    tails = short.join(last, owner, "left").select(
+        owner, (F.coalesce("_last", F.lit(-1)) + 1).alias("_from"), F.lit(size).alias("_to"),
+        (F.col("_lack") - (F.coalesce("_last", F.lit(-1)) + 1 - F.coalesce("_n", F.lit(0)))).alias("_want"),
+    )
+    open_gaps = gaps.unionByName(tails).filter((F.col("_from") < F.col("_to")) & (F.col("_want") > 0))
+    free = open_gaps.select(owner, F.explode(
+        F.sequence("_from", F.least(F.col("_to"), F.col("_from") + F.col("_want")) - 1)
+    ).alias("_place"))
+    extra = free.join(numbered, "_place").select(owner, F.col("_id").alias(other), F.lit(0.0).alias("score"))
+    return top_k(rows.unionByName(extra), [owner], "score", [other], n)
+
+
 def fill_with_unrelated(
-    top: DataFrame, sims: DataFrame, items: DataFrame, item_ids: list[int], n: int
+    top: DataFrame, sims: DataFrame, items: DataFrame, item_ids: list[int] | None, n: int
 ) -> DataFrame:
-    """Fill short top lists of a few named items with score-0 items, lowest ids first.
+    """Short top lists filled with score-0 items, lowest ids first: those of the named items, or all for None.
 
-    ``sims`` is the whole table (a, b, score); only named items are filled, each by one
-    ``limit``, so nothing of the size items x items arises.
+    ``sims(a, b, score)`` names the items that have a score with ``a``; lists cut from it at ``n`` may stand for it,
+    because a list that is short has all of them.
     """
-    filled = top
-    for item_id in item_ids:
-        known = sims.filter(F.col("a") == item_id).select(F.col("b").alias("other_id"))
-        have = top.filter(F.col("item_id") == item_id)
-        extra = (
-            items.select(F.col("item_id").alias("other_id"))
-            .filter(F.col("other_id") != item_id)
-            .join(known, "other_id", "left_anti")
-            .orderBy("other_id")
-            .limit(n)
-            .select(
-                F.lit(item_id).cast("bigint").alias("item_id"), "other_id", F.lit(0.0).alias("score")
-            )
-        )
-        both = have.select("item_id", "other_id", "score").unionByName(extra)
-        filled = filled.filter(F.col("item_id") != item_id).unionByName(
-            top_k(both, ["item_id"], "score", ["other_id"], n)
-        )
-    return filled
+    named = items.select("item_id") if item_ids is None else items.select("item_id").filter(F.col("item_id").isin(item_ids))
+    named = cut_lineage(named.distinct())
+    own = top.select("item_id", "other_id", "score")
+    taken = named.select("item_id", F.col("item_id").alias("other_id")).unionByName(
+        sims.select(F.col("a").alias("item_id"), F.col("b").alias("other_id")).join(named, "item_id", "left_semi")
+    )
+    filled = fill_lists(own.join(named, "item_id", "left_semi"), taken, items.select("item_id"), n)
+    rest = top.join(named, "item_id", "left_anti").select("item_id", "other_id", "score", "rank")
+    return filled.select("item_id", "other_id", "score", "rank").unionByName(rest)
+
+
+def fill_recommendations(recs: DataFrame, ratings: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """Short lists of recommendations filled with unrated items at score 0, lowest ids first; every rater has a list."""
+    return fill_lists(recs.select(*PAIR, "score"), ratings.select(*PAIR), items.select("item_id"), n, *PAIR)
 
 
 def weighted_mean(contributions: DataFrame, by: list[str], min_neighbours: int) -> DataFrame:

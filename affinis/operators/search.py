@@ -1,4 +1,4 @@
-"""Exact top-n by shared keys, without spreading hot keys into pairs.
+"""Exact top-n by shared keys over a block-max index, without a table of pairs.
 
 A query and an answer score the sum of ``q * impact`` over the keys they share: items that share
 users, items that share tags, user profiles and item tags.
@@ -6,114 +6,240 @@ users, items that share tags, user profiles and item tags.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from affinis.operators.joins import grid_join
-from affinis.operators.topk import top_k
+from affinis.operators.topk import RANK_DIGITS, top_k
 from affinis.session import cut_lineage
 
-# A key with more answers than this is not used to find candidates while rarer keys suffice.
-HOT_KEY = 20_000
-# Queries that are not settled yet try again with so many times the bound.
-HOT_STEP = 4
+# Posting rows of one block, and query rows that meet it in one task. A session of small executors may take less.
+BLOCK_ROWS = 400_000
 _MARGIN = 1e-6  # bounds are compared with room for rounding
 
 
-def _scores(queries: DataFrame, postings: DataFrame) -> DataFrame:
+def _answers(found: DataFrame, exclude: DataFrame | None) -> DataFrame:
+    if exclude is None:
+        return found.filter(F.col("query") != F.col("other"))
+    return found.join(exclude, ["query", "other"], "left_anti")
+
+
+def _direct(queries: DataFrame, postings: DataFrame) -> DataFrame:
     joined = grid_join(queries, postings, ["key"], "query", "other")
     return joined.groupBy("query", "other").agg(F.sum(F.col("q") * F.col("impact")).alias("score"))
 
 
+def block_of(postings: DataFrame, block_rows: int) -> DataFrame:
+    """``(other, block)``: answers in blocks of about ``block_rows`` postings.
+
+    An answer goes with the smallest hash of its keys, so answers that share keys tend to share a block and other
+    blocks' bounds for these keys stay low. Larger clusters are split by a hash of the answer.
+    """
+    own = postings.groupBy("other").agg(F.min(F.xxhash64("key")).alias("cluster"), F.count("*").alias("n"))
+    own = cut_lineage(own)
+    clusters = own.groupBy("cluster").agg(F.sum("n").alias("rows"))
+    small = clusters.filter(F.col("rows") <= block_rows).agg(F.sum("rows")).first()[0] or 0
+    n_small = max(1, -(-small // block_rows))
+    place = F.when(
+        F.col("rows") > block_rows,
+        F.xxhash64("cluster", F.pmod(F.xxhash64("other"), F.ceil(F.col("rows") / block_rows))),
+    ).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(n_small)))
+    return own.join(clusters, "cluster").select("other", place.alias("block"))
+
+
+def block_bounds(queries: DataFrame, placed: DataFrame) -> DataFrame:
+    """``(query, block, bound)``: the most that an answer of the block can score, from each key's extremes there."""
+    heads = cut_lineage(placed.groupBy("block", "key").agg(
+        F.max("impact").alias("most"), F.min("impact").alias("least")
+    ))
+    best = F.greatest(F.col("q") * F.col("most"), F.col("q") * F.col("least"), F.lit(0.0))
+    joined = grid_join(queries, heads, ["key"], "query", "block")
+    return joined.groupBy("query", "block").agg(F.sum(best).alias("bound"))
+
+
+@dataclass
+class Meeting:
+    """A query of a cell and what it shares with the cell's answers: one entry per shared key.
+
+    ``others`` are all answers in order, ``found`` the places of those it may have; ``met`` is an entry's answer by
+    place, ``q`` and ``impact`` are the two values. ``n_keys`` and ``squares`` count all keys of the query.
+    """
+
+    query: object
+    others: np.ndarray
+    found: np.ndarray
+    met: np.ndarray
+    q: np.ndarray
+    impact: np.ndarray
+    n_keys: int
+    squares: float
+
+
+def meetings(cell: pa.Table, itself: bool) -> Iterator[Meeting]:
+    """Every query of a cell that shares a key with an answer; an id is no answer to itself if ``itself``."""
+    kinds = cell.column("kind").to_numpy()
+    postings, asked, barred = (cell.filter(pa.array(kinds == k)) for k in range(3))
+    others, other_at = np.unique(postings.column("other").to_numpy(), return_inverse=True)
+    names = postings.column("key").combine_chunks().dictionary_encode()
+    codes = names.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    other_at, impact = other_at[order], postings.column("value").to_numpy()[order]
+    bounds = np.concatenate(([0], np.cumsum(np.bincount(codes, minlength=len(names.dictionary)))))
+    key = pc.fill_null(pc.index_in(asked.column("key").combine_chunks(), value_set=names.dictionary), -1).to_numpy()
+    ids, at = np.unique(asked.column("query").to_numpy(), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    key, weight = key[order], asked.column("value").to_numpy()[order]
+    ends = np.cumsum(np.bincount(at, minlength=len(ids)))
+    bars: dict = {}
+    for query, other in zip(barred.column("query").to_pylist(), barred.column("other").to_pylist(), strict=True):
+        bars.setdefault(query, []).append(other)
+    for number, end in enumerate(ends):
+        own = slice(ends[number - 1] if number else 0, end)
+        known = key[own] >= 0
+        keys, values = key[own][known], weight[own][known]
+        first, length = bounds[keys], bounds[keys + 1] - bounds[keys]
+        shift = np.concatenate(([0], np.cumsum(length)))
+        rows = np.repeat(first - shift[:-1], length) + np.arange(shift[-1])
+        met = other_at[rows]
+        is_met = np.bincount(met, minlength=len(others)) > 0
+        query = ids[number]
+        for bar in [query] if itself else bars.get(query.item() if hasattr(query, "item") else query, ()):
+            place = np.searchsorted(others, bar)
+            if place < len(others) and others[place] == bar:
+                is_met[place] = False
+        found = np.flatnonzero(is_met)
+        if len(found):
+            yield Meeting(
+                query, others, found, met, np.repeat(values, length), impact[rows],
+                int(end - own.start), float((weight[own] ** 2).sum()),
+            )
+
+
+def best_places(found: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` best of the places ``found`` by falling rounded score, then place."""
+    ranked = np.round(scores, RANK_DIGITS)
+    if len(found) > n:
+        least = np.partition(ranked, len(ranked) - n)[len(ranked) - n]
+        found, ranked = found[ranked >= least], ranked[ranked >= least]
+    return found[np.lexsort((found, -ranked))[:n]]
+
+
+def _best_in_cell(cell: pa.Table, n: int, itself: bool) -> tuple[list, list, list]:
+    """Queries, answers and scores: the best ``n`` answers of every query of a cell."""
+    out: tuple[list, list, list] = ([], [], [])
+    for m in meetings(cell, itself):
+        scores = np.bincount(m.met, m.impact * m.q, minlength=len(m.others))
+        best = best_places(m.found, scores[m.found], n)
+        out[0].extend([m.query] * len(best))
+        out[1].extend(m.others[best])
+        out[2].extend(scores[best])
+    return out
+
+
+def in_blocks(
+    pairs: DataFrame, queries: DataFrame, placed: DataFrame, work: Callable[[pa.Table], tuple[list, ...]],
+    exclude: DataFrame | None, block_rows: int, counts: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(query, other, score, *counts)``: what ``work`` finds in the cells of ``pairs(query, block)``.
+
+    A cell holds one block and as many queries as have about ``block_rows`` keys.
+    """
+    asked = pairs.join(queries, "query")
+    sizes = asked.groupBy("block").agg(F.ceil(F.count("*") / block_rows).alias("chunks"))
+    sizes = cut_lineage(sizes)
+    chunk = F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int").alias("chunk")
+    query_type, other_type = queries.schema["query"].dataType, placed.schema["other"].dataType
+    key_type = placed.schema["key"].dataType
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rows = placed.join(sizes, "block").select(
+        "block", F.explode(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int"))).alias("chunk"),
+        F.lit(0).alias("kind"), none(query_type, "query"), "other", "key", F.col("impact").cast("double").alias("value"),
+    ).unionByName(asked.join(sizes, "block").select(
+        "block", chunk, F.lit(1).alias("kind"), "query", none(other_type, "other"), "key",
+        F.col("q").cast("double").alias("value"),
+    ))
+    if exclude is not None:
+        barred = exclude.select("query", "other").join(placed.select("other", "block").distinct(), "other")
+        rows = rows.unionByName(barred.join(pairs, ["query", "block"]).join(sizes, "block").select(
+            "block", chunk, F.lit(2).alias("kind"), "query", "other", none(key_type, "key"), none("double", "value"),
+        ))
+    schema = StructType([
+        StructField("query", query_type), StructField("other", other_type), StructField("score", DoubleType()),
+        *[StructField(c, LongType()) for c in counts],
+    ])
+
+    def found(cell: pa.Table) -> pa.Table:
+        types = cell.schema.field("query").type, cell.schema.field("other").type, pa.float64(), *[pa.int64()] * len(counts)
+        columns = work(cell)
+        return pa.table(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query", "other", "score", *counts]
+        )
+
+    return rows.groupBy("block", "chunk").applyInArrow(found, schema)
+
+
+def heavy_ids(df: DataFrame, id: str, block_rows: int) -> DataFrame:
+    """``(id)`` of more rows than a block has, at most rows / ``block_rows`` many."""
+    return cut_lineage(df.groupBy(id).agg(F.count("*").alias("_n")).filter(F.col("_n") > block_rows).select(id))
+
+
 def search_top(
     queries: DataFrame,
     postings: DataFrame,
     n: int,
     exclude: DataFrame | None = None,
-    signed: bool = False,
-    hot_key: int = HOT_KEY,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(query, other, score, rank)``, the best ``n`` answers of every query.
 
-    ``queries(query, key, q)`` and ``postings(other, key, impact)`` hold one row per id and key.
-    ``exclude(query, other)`` names pairs that are no answer; without it, an id is no answer to
-    itself. ``signed`` says that products may be negative.
-
-    Keys with more than ``hot_key`` postings do not spread into pairs at once. Candidates come
-    from the other keys, and hot parts are added to candidates alone. For a query that is exact
-    if its n-th best candidate must stay above the most that hot keys can give to an answer
-    which is no candidate. A query that fails this test but has one hot key takes the first
-    answers of that key as further candidates. The other queries run again with a higher bound, so that their
-    rarer hot keys spread, and so on until all are settled: the result is always the full one, and a key
-    spreads only for queries that need it.
-    """
+    ``queries(query, key, q)`` and ``postings(other, key, impact)`` hold one row per id and key; neither is null.
+    ``exclude(query, other)`` names pairs that are no answer; without it, an id is no answer to itself. Products may
+    be negative.
 
-    def answers(q: DataFrame, p: DataFrame) -> DataFrame:
-        found = _scores(q, p)
-        if exclude is None:
-            return found.filter(F.col("query") != F.col("other"))
-        return found.join(exclude, ["query", "other"], "left_anti")
-
-    sizes = postings.groupBy("key").agg(
-        F.count("*").alias("_n"), F.max(F.abs("impact")).alias("most")
-    )
-    hot = sizes.filter(F.col("_n") > hot_key).select("key", "most")
-    if hot.isEmpty():
-        return top_k(answers(queries, postings), ["query"], "score", ["other"], n)
-
-    hot = cut_lineage(hot)
-    hot_queries = queries.join(hot, "key")
-    hot_postings = postings.join(hot.select("key"), "key", "left_semi")
-    cold = cut_lineage(
-        answers(queries.join(hot, "key", "left_anti"), postings.join(hot, "key", "left_anti"))
-    )
-    bounds = hot_queries.groupBy("query").agg(
-        F.sum(F.abs("q") * F.col("most")).alias("bound"), F.count("*").alias("_hot"),
-        F.max(F.abs(F.col("q") - 1)).alias("_off"),
-    )
-    kth = top_k(cold, ["query"], "score", ["other"], n).filter(F.col("rank") == n)
-    # A candidate keeps its score without hot keys, or loses at most the bound if signs differ.
-    least = F.col("score") - (F.col("bound") if signed else F.lit(0.0))
-    safe = cut_lineage(
-        kth.join(bounds, "query").withColumn("least", least)
-        .filter(F.col("least") > F.col("bound") + _MARGIN)
-        .select("query", "bound", "least")
-    )
-    open_queries = bounds.join(safe, "query", "left_anti")
-    # Behind one hot key and no other shared key, answers come in the key's own order: the first
-    # n of it, besides the query itself, leave no room for a later one. That order is by impact alone,
-    # so it holds for a weight of 1, where rounding of the score and of the impact agree.
-    one_key = ((F.col("_hot") == 1) & (F.col("_off") == 0)) if exclude is None and not signed else F.lit(False)
-    single = open_queries.filter(one_key).select("query")
-    unsafe = open_queries.filter(~one_key).select("query")
-
-    without_hot = cold.join(bounds, "query", "left_anti")
-    near = cold.join(safe, "query").filter(F.col("score") + F.col("bound") >= F.col("least") - _MARGIN)
-    heads = top_k(hot_postings, ["key"], "impact", ["other"], n + 1).select("key", "other")
-    first = (
-        hot_queries.join(single, "query", "left_semi").select("query", "key").join(heads, "key")
-        .filter(F.col("query") != F.col("other"))
-        .select("query", "other", F.lit(0.0).alias("score"))
-    )
-    pairs = (
-        near.select("query", "other", "score")
-        .unionByName(cold.join(single, "query", "left_semi"))
-        .unionByName(first)
-    )
-    added = (
-        pairs.select("query", "other").distinct()
-        .join(hot_queries.select("query", "key", "q"), "query")
-        .join(hot_postings, ["other", "key"])
-        .select("query", "other", (F.col("q") * F.col("impact")).alias("score"))
-    )
-    lifted = pairs.unionByName(added).groupBy("query", "other").agg(F.sum("score").alias("score"))
-    ranked = top_k(without_hot.unionByName(lifted), ["query"], "score", ["other"], n)
-    unsafe = cut_lineage(unsafe)
-    if unsafe.isEmpty():
-        return ranked
-    # With a higher bound fewer keys are hot: candidates come from more keys, rarest first, and less is left
-    # that could lift an answer past the n-th.
-    again = search_top(
-        queries.join(unsafe, "query", "left_semi"), postings, n, exclude, signed, hot_key * HOT_STEP
-    )
-    return ranked.unionByName(again.select(*ranked.columns))
+    Postings stand in blocks, each a small index by key with every key's largest and smallest impact. What a
+    query can get from a block at most is the sum of these over its keys. A query first searches the block of its
+    highest bound; its n-th best score there closes all blocks with a lower bound, and the others are searched
+    in full. In a block, a query adds its keys' postings into one array of scores and keeps the best n, so pairs
+    never leave a task. An id with more rows than a block would make a block of its own larger than any bound: such
+    ids, at most rows / ``block_rows`` many, meet all others by joins on the key, and their scores are summed in the
+    shuffle.
+    """
+    queries, postings = cut_lineage(queries.select("query", "key", "q")), cut_lineage(postings.select("other", "key", "impact"))
+    large, long = heavy_ids(postings, "other", block_rows), heavy_ids(queries, "query", block_rows)
+    work = partial(_best_in_cell, n=n, itself=exclude is None)
+    parts = []
+    if large.head(1):
+        parts.append(_answers(_direct(queries, postings.join(large, "other", "left_semi")), exclude))
+        postings = postings.join(large, "other", "left_anti")
+    if long.head(1):
+        parts.append(_answers(_direct(queries.join(long, "query", "left_semi"), postings), exclude))
+        queries = queries.join(long, "query", "left_anti")
+    placed = cut_lineage(postings.join(block_of(postings, block_rows), "other"))
+    blocks = placed.select("block").distinct().limit(2).collect()
+    if len(blocks) < 2:
+        pairs = queries.select("query").distinct().withColumn("block", F.lit(blocks[0]["block"] if blocks else 0))
+        parts.append(in_blocks(pairs, queries, placed, work, exclude, block_rows))
+    else:
+        bounds = cut_lineage(block_bounds(queries, placed))
+        first = cut_lineage(bounds.groupBy("query").agg(F.max_by("block", F.struct("bound", "block")).alias("block")))
+        found = cut_lineage(in_blocks(first, queries, placed, work, exclude, block_rows))
+        kth = top_k(found, ["query"], "score", ["other"], n).filter(F.col("rank") == n)
+        rest = (
+            bounds.join(first, ["query", "block"], "left_anti")
+            .join(kth.select("query", F.col("score").alias("least")), "query", "left")
+            .filter(F.col("least").isNull() | (F.col("bound") >= F.col("least") - _MARGIN))
+            .select("query", "block")
+        )
+        parts += [found, in_blocks(cut_lineage(rest), queries, placed, work, exclude, block_rows)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return top_k(whole, ["query"], "score", ["other"], n)

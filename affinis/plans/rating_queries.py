@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinis.functions.numbers import rounded
+from affinis.operators import neighbours as N
 from affinis.operators import pairs as P
 from affinis.operators import recommend as R
 from affinis.operators import sampling as S
-from affinis.operators.topk import above, top_k
+from affinis.operators.set_join import set_neighbours
+from affinis.operators.topk import top_k
 from affinis.plans import views as V
 from affinis.plans.sql import SCORES, define, r6, top, with_
+from affinis.session import cut_lineage
 from affinis.sources import ratings as src
 
 PAIR = ["user_id", "item_id"]
@@ -81,8 +84,7 @@ def topk_per_key(spark, sf):
 
 
 def threshold_neighbors(spark, sf):
-    sims = P.similarity_table(V.ratings(spark, sf), "user", "pearson", both_directions=True)
-    return _scored(above(sims, "score", 0.2))
+    return _scored(N.neighbours(V.ratings(spark, sf), "user", "pearson", threshold=0.2))
 
 
 def recommend_with_titles(spark, sf):
@@ -106,6 +108,16 @@ def nonpersonalized_topn(spark, sf):
     )
 
 
+def nonpersonalized_filled(spark, sf):
+    """Lists of 60 for every item, filled with the lowest ids that it shares no user with."""
+    ratings = V.ratings(spark, sf)
+    lists = cut_lineage(R.associated_items(ratings, 60))
+    pairs = lists.select(F.col("item_id").alias("a"), F.col("other_id").alias("b"), "score")
+    return R.fill_with_unrelated(lists, pairs, ratings, None, 60).select(
+        "item_id", "other_id", rounded("score").alias("score"), "rank"
+    )
+
+
 def sim_user_centered(spark, sf):
     return _scored(P.centred_cosine(P.centred(V.ratings(spark, sf)), "user").filter("a < b"))
 
@@ -116,8 +128,7 @@ def sim_item_centered(spark, sf):
 
 
 def item_item_similar(spark, sf):
-    rows = P.centred(V.ratings(spark, sf), positive_only=True)
-    return R.top_items(P.centred_cosine(rows, "item"), 10).select(
+    return R.similar_centred_items(V.ratings(spark, sf), 10).select(
         "item_id", "other_id", rounded("score").alias("score"), "rank"
     )
 
@@ -159,15 +170,15 @@ def rescored_topn(spark, sf):
 
 def user_based_topn(spark, sf):
     rows = V.ratings(spark, sf)
-    sims = P.similarity_table(rows, "user", "pearson", both_directions=True)
-    near = R.user_neighbours(sims, nearest=R.neighbourhood_size(rows))
+    nearest = R.neighbourhood_size(rows)
+    near = R.user_neighbours(N.neighbours(rows, "user", "pearson", n=nearest), nearest=nearest)
     return _ranked(R.recommend(R.user_based_scores(rows, near), 10))
 
 
 def user_based_boolean(spark, sf):
     prefs = src.to_boolean(V.preference_events(spark, sf))
-    sims = P.similarity_table(prefs, "user", "tanimoto", both_directions=True)
-    near = R.user_neighbours(sims, threshold=0.3)
+    pairs = set_neighbours(prefs.select(F.col("user_id").alias("id"), F.col("item_id").alias("key")), 0.3)
+    near = R.user_neighbours(P.directed(pairs), threshold=0.3)
     return _ranked(R.recommend(R.user_based_boolean_scores(prefs, near), 10))
 
 
@@ -204,6 +215,7 @@ QUERIES = {
     "assoc_basic": _sim("item", "assoc_basic"),
     "assoc_advanced": _sim("item", "assoc_advanced"),
     "nonpersonalized_topn": nonpersonalized_topn,
+    "nonpersonalized_filled": nonpersonalized_filled,
     "nonpersonalized_advanced_topn": _top_similar("assoc_advanced", 5),
     "sim_pearson": _sim("item", "pearson"),
     "sim_pearson_weighted": _sim("user", "pearson_w"),
@@ -373,6 +385,15 @@ ORACLE = {
     "nonpersonalized_topn": with_(
         ["item_stats2"], f"{_SIMILAR} ({top(_BASIC, 'a', 'score', 'b', 5, 'a, b, score')})"
     ),
+    "nonpersonalized_filled": with_(
+        ["item_stats2"],
+        f"{_SIMILAR} ({top('every', 'a', 'score', 'b', 60, 'a, b, score')})",
+        {
+            "items": "SELECT DISTINCT item_id FROM ratings",
+            "every": "SELECT x.item_id AS a, y.item_id AS b, coalesce(s.score, 0e0) AS score FROM items x "
+                     f"JOIN items y ON x.item_id <> y.item_id LEFT JOIN {_BASIC} s ON s.a = x.item_id AND s.b = y.item_id",
+        },
+    ),
     "nonpersonalized_advanced_topn": with_(
         ["item_stats2"], f"{_SIMILAR} ({top(_ADVANCED, 'a', 'score', 'b', 5, 'a, b, score')})"
     ),

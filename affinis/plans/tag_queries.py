@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinis.functions.numbers import rounded
+from affinis.operators import recommend as R
 from affinis.operators import tags as T
 from affinis.operators.tfidf import document_frequency, term_counts
 from affinis.plans import views as V
@@ -50,12 +51,21 @@ def _content(weighted):
     def query(spark, sf):
         ratings = V.ratings(spark, sf)
         rows = T.tag_tfidf(V.tags(spark, sf), ratings)
-        recs = T.content_recommend(T.user_profile(ratings, rows, weighted), rows, ratings, 5, weighted)
+        recs = T.content_recommend(T.user_profile(ratings, rows, weighted), rows, ratings, 5)
         return recs.select(*PAIR, rounded("score").alias("score"), "rank")
 
     return query
 
 
+def content_topn_filled(spark, sf):
+    """Content lists of 5 for every user; users with short ones, or with none, get the lowest unrated ids."""
+    ratings = V.ratings(spark, sf)
+    rows = T.tag_tfidf(V.tags(spark, sf), ratings)
+    recs = T.content_recommend(T.user_profile(ratings, rows), rows, ratings, 5)
+    filled = R.fill_recommendations(recs, ratings, rows.select("item_id").distinct(), 5)
+    return filled.select(*PAIR, rounded("score").alias("score"), "rank")
+
+
 def sim_tag_cosine(spark, sf):
     tags = T.normalize_tags(V.tags(spark, sf))
     return T.tag_cosine(tags).select("a", "b", "n", rounded("score").alias("score"))
@@ -79,8 +89,8 @@ def tag_knn_predict(spark, sf):
 
 
 def similar_items_by_tags_hot(spark, sf):
-    """The same lists with a low bound for hot tags, so that common tags are added to candidates alone."""
-    return T.similar_by_tags(V.tags(spark, sf), 10, hot_df=20).select(
+    """The same lists over small blocks, so that bounds close some of them."""
+    return T.similar_by_tags(V.tags(spark, sf), 10, block_rows=5_000).select(
         "item_id", "other_id", rounded("score").alias("score"), "rank"
     )
 
@@ -105,6 +115,7 @@ QUERIES = {
     "user_profile_weighted": user_profile_weighted,
     "content_topn": _content(False),
     "content_topn_weighted": _content(True),
+    "content_topn_filled": content_topn_filled,
     "sim_tag_cosine": sim_tag_cosine,
     "sim_tag_tanimoto": sim_tag_tanimoto,
     "similar_items_by_tags": similar_items_by_tags,
@@ -222,6 +233,22 @@ ORACLE = {
     ),
     "content_topn": _content_sql("profile_plain"),
     "content_topn_weighted": _content_sql("profile_weighted"),
+    "content_topn_filled": with_(
+        ["profile_plain", "tag_rows", "ratings"],
+        f"SELECT user_id, item_id, {r6('score', 'score')}, rank FROM ("
+        + top("every", "user_id", "score", "item_id", 5, "user_id, item_id, score") + ")",
+        {
+            "dots": "SELECT p.user_id, t.item_id, sum(p.weight * t.weight) AS dot FROM profile_plain p "
+                    "JOIN tag_rows t USING (tag) GROUP BY 1, 2",
+            "norms": "SELECT user_id, sqrt(sum(weight * weight)) AS norm FROM profile_plain GROUP BY 1",
+            "every": """
+              SELECT u.user_id, i.item_id, coalesce(dot / norm, 0e0) AS score
+              FROM (SELECT DISTINCT user_id FROM ratings) u CROSS JOIN (SELECT DISTINCT item_id FROM tag_rows) i
+              LEFT JOIN dots d ON d.user_id = u.user_id AND d.item_id = i.item_id
+              LEFT JOIN norms n ON n.user_id = u.user_id
+              LEFT JOIN ratings r ON r.user_id = u.user_id AND r.item_id = i.item_id WHERE r.user_id IS NULL""",
+        },
+    ),
     "sim_tag_cosine": with_(
         ["tf_norm"],
         f"SELECT a, b, n, {r6('dot / (x.norm * y.norm)', 'score')} FROM p JOIN m x ON x.id = a JOIN m y ON y.id = b",
