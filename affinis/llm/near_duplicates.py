@@ -1,22 +1,27 @@
 """Near-duplicate classes of texts, by DartMinHash signatures and banded joining.
 
-A text is the multiset of its five-word shingles: a shingle that occurs x times has weight x. Darts are points
-(weight, rank) that fall on every shingle's half plane at unit rate, by a hash of the shingle alone, so that two
-texts see the same darts where their shingles agree. A dart counts for a text if its weight lies below the
-shingle's; of all that count, the earliest dart of each coordinate makes the signature. Two signatures agree in a
-coordinate with the probability of the weighted Jaccard similarity. Only about k (ln k + 3) darts of lowest rank
-are thrown at a text, however long it is; if a coordinate stays empty, the rank limit doubles.
+A text is the multiset of its five-word shingles: a shingle that occurs x times has weight x. Whole weights are the
+reduction made here: the weight axis of a shingle is cut into x unit intervals, each a region of its own (the c-th
+occurrence of a shingle is the same region in every text), so the number of regions is the number of shingle
+occurrences. Darts fall on every region at unit rate along the rank axis, by a hash of the region alone, so two texts
+see the same darts where their regions agree. Of all darts that fall on a text, the earliest of each coordinate makes
+the signature. Two signatures agree in a coordinate with the probability of the weighted Jaccard similarity. Only about
+k (ln k + 3) darts of lowest rank are thrown at a text, however long it is; if a coordinate stays empty, the rank limit
+doubles.
 
 Signatures are cut into bands. Texts that share a band are compared exactly:
 
-1. texts of equal words collapse to one node;
+1. texts of equal words (by a 128-bit hash) collapse to one node;
 2. in every bucket (band, key), each node meets the smallest one, and pairs of the wanted similarity are links;
-3. a bucket whose nodes are now in several components holds pairs that step 2 did not meet. Nodes outside the
-   smallest node's component are compared with all nodes of the bucket, in cells of bounded blocks;
+3. a bucket whose nodes are now in several components holds pairs that step 2 did not meet. Rounds settle it: the
+   component of one of its nodes is its home, the smallest nodes outside of it are leads and meet all nodes of the
+   bucket, ``LEADS`` of them in the first round and eight times as many in each later one, until no node outside the home
+   is left that has not been a lead. Two nodes that never met are then both in the home, so linked already;
 4. components of all links are the classes.
 
-So no bucket emits its pairs, and no link between nodes of a bucket is lost: what is not compared is in one class
-already. With 24 bands of 5 coordinates a pair at 0.8 shares a band with probability 0.99993.
+Nodes meet in cells of at most ``LEADS`` leads and about ``CELL_NODES`` nodes of one bucket. A cell emits a spanning forest
+of its links, at most as many as it has nodes, so no bucket emits its pairs, and no link between nodes of a bucket is
+lost. With 24 bands of 5 coordinates a pair at 0.8 shares a band with probability 0.99993.
 
 Texts without words (null, empty) are equal to nothing: each row is a class of its own. A text of fewer than five
 words is one shingle. Rows of equal id and text, repeated rows included, are copies of each other. Rows of null
@@ -25,32 +30,33 @@ id are classed like others; a class is named by its smallest id that is not null
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import log
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from affinis.llm.columns import with_text_column
 from affinis.llm.components import connected_components
-from affinis.llm.words import WordHashes, folded_words, mixed, signed, window_hashes
+from affinis.llm.words import WordHashes, folded_words, mixed, window_hashes
 from affinis.session import cut_lineage
 
 SHINGLE_WORDS = 5
 BANDS, BAND_ROWS = 24, 5
-#: Nodes of a bucket that one cell of step 3 compares with as many others, on average.
-BLOCK = 64
+#: Leads of one cell, and the other nodes that it holds on average: what one task has in memory at a time.
+LEADS, CELL_NODES = 128, 512
+#: How many times more leads a bucket has in each round than in the one before.
+MORE_LEADS = 8
 
 _COPY = np.uint64(0xA0761D6478BD642F)
 _ARRIVAL = np.uint64(0xE7037ED1A0B428DB)
 _PLACE = np.uint64(0x8EBC6AF09C88C6E3)
 
 SKETCH = StructType([
-    StructField("node", LongType()), StructField("n_cells", IntegerType()), StructField("bands", ArrayType(LongType())),
+    StructField("words", BinaryType()), StructField("n_cells", IntegerType()), StructField("bands", ArrayType(LongType())),
 ])
 
 
@@ -113,9 +119,9 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def node_of(words: list[bytes]) -> int:
-    """The same number for the same words."""
-    return signed(xxhash.xxh3_64_intdigest(b" ".join(words)))
+def words_digest(words: list[bytes]) -> bytes:
+    """The same 128 bits for the same words."""
+    return xxhash.xxh3_128_digest(b" ".join(words))
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -132,53 +138,59 @@ def _sketch_of(bands: int, rows: int):
             return None
         cells = unit_cells(words, hashes)
         return {
-            "node": node_of(words), "n_cells": len(cells),
+            "words": words_digest(words), "n_cells": len(cells),
             "bands": band_keys(signature(cells, bands * rows), bands, rows),
         }
 
     return of
 
 
+def _row_key(doc_id: str, text: str) -> list:
+    """Columns (no_id, id, text_hash) that tell rows apart; none is null, so one exchange serves joins and groups."""
+    kind = F.col(f"`{doc_id}`")
+    return [
+        kind.isNull().alias("no_id"), F.coalesce(kind.cast("string"), F.lit("")).alias("id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+    ]
+
+
+KEY = ["no_id", "id", "text_hash"]
+
+
 def near_duplicate_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8,
     bands: int = BANDS, band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``text_hash`` (of the raw text), ``node`` (equal words), ``class_id``.
+    """One row per row of ``docs``: ``doc_id``, ``no_id``, ``id``, ``text_hash`` (the row's key), ``class_id``.
 
     ``class_id`` is the smallest id of the class, null for a class of null ids only. ``first_row`` marks the rows
     that stand for their class (identical rows all do). ``n_rows`` counts the class.
     """
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")
-    )
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), *_row_key(doc_id, text), F.col(f"`{text}`").alias("text"))
     sketched = with_text_column(rows, "text", "sketch", SKETCH, lambda: _sketch_of(bands, band_rows))
-    sketched = cut_lineage(sketched.select("doc_id", "text_hash", "sketch.*"))
-    nodes = cut_lineage(sketched.where("node is not null").groupBy("node").agg(
-        F.first("bands").alias("bands"), F.first("n_cells").alias("n_cells"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("at"),
-    ))
+    sketched = cut_lineage(sketched.select("doc_id", *KEY, "sketch.*"))
+    place = F.struct("no_id", "doc_id", "id", "text_hash")
+    nodes = cut_lineage(sketched.where("words is not null").groupBy("words").agg(
+        F.first("bands").alias("bands"), F.first("n_cells").alias("n_cells"), F.min(place).alias("at"),
+    ).withColumn("node", F.monotonically_increasing_id()))
     members = nodes.select("node", "n_cells", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(
         F.min(F.struct("node", "n_cells")).alias("lead"), F.count("*").alias("n")
     ).where("n > 1").select("bucket", F.col("lead.node").alias("lead"), F.col("lead.n_cells").alias("lead_cells"), "n")
     members = cut_lineage(members.join(buckets, "bucket"))
     texts = cut_lineage(_texts_of(members.select("node"), nodes, rows))
+    parts = components_in_buckets(members, texts, threshold)
 
-    links = cut_lineage(_links_to_leads(members, texts, threshold))
-    met = connected_components(links)
-    more = cut_lineage(_links_between_parts(members, met, texts, threshold))
-    parts = connected_components(links.unionByName(more)) if more.head(1) else met
-
-    owned = cut_lineage(sketched.select("doc_id", "text_hash", "node").join(parts, "node", "left").select(
-        "doc_id", "text_hash", "node", F.coalesce("component", "node").alias("part")
-    ))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    part_of = nodes.select("words", "node").join(parts, "node", "left").select(
+        "words", F.coalesce("component", "node").alias("part")
+    )
+    owned = cut_lineage(sketched.select("doc_id", *KEY, "words").join(part_of, "words", "left").drop("words"))
     # combined in the tasks that read the rows, then a table of its own: the join below may split a large class
     classes = cut_lineage(owned.where("part is not null").groupBy("part").agg(
         F.min("doc_id").alias("class_id"), F.min(place).alias("first"), F.count("*").alias("n_rows")
     ))
     return owned.join(classes, "part", "left").select(
-        "doc_id", "text_hash", "node",
+        "doc_id", *KEY,
         F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         (F.col("part").isNull() | F.col("first").eqNullSafe(place)).alias("first_row"),
         F.coalesce("n_rows", F.lit(1)).alias("n_rows"),
@@ -186,101 +198,159 @@ def near_duplicate_classes(
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without all but one row of every class: that of the smallest id."""
+    """``docs`` without all but one row of every class: that of the smallest id.
+
+    Of repeated rows of that id and text that differ in other columns, the one of the least values stays, compared
+    column by column.
+    """
     classes = near_duplicate_classes(docs, doc_id, text, **options)
-    first = classes.where("first_row").select(
-        F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash")
-    ).distinct()
+    first = classes.where("first_row").select(*KEY).distinct()
     names = docs.columns
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-        F.col(doc_id).alias("own_id"), F.xxhash64(F.col(text)).alias("own_hash"),
-    )
-    # repeated rows collapse in the tasks that read them, before any of them moves
-    found = packed.dropDuplicates(["own_id", "own_hash"]).join(
-        first, F.col("own_id").eqNullSafe(F.col("first_id")) & F.col("own_hash").eqNullSafe(F.col("first_hash")),
-        "left_semi",
-    )
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_row_key(doc_id, text))
+    # repeated rows collapse in the tasks that read them; the join finds the rest where the grouping put it
+    found = packed.groupBy(*KEY).agg(F.min("row").alias("row")).join(first, KEY, "left_semi")
     return found.select(*[F.col("row").getField(c).alias(c) for c in names])
 
 
 def _texts_of(wanted: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, text) of the nodes that share a bucket; one text per node, though many rows may have it."""
-    places = nodes.join(wanted.distinct(), "node", "left_semi").select(
-        "node", F.col("at.doc_id").alias("at_id"), F.col("at.text_hash").alias("at_hash")
+    places = nodes.join(wanted.distinct(), "node", "left_semi").select("node", "at.no_id", "at.id", "at.text_hash")
+    found = rows.select(*KEY, F.col("text").cast("binary").alias("text")).join(places, KEY)
+    return found.groupBy(*KEY).agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
+
+
+def components_in_buckets(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, component) of the nodes that are linked, from members (bucket, node, n_cells, lead, lead_cells, n)."""
+    parts = connected_components(links_to_leads(members, texts, threshold))
+    wide = members.where("n > 2")
+    placed = _with_part(wide, parts, "node", "part").select("bucket", "node", "n_cells", "part")
+    # the home of a bucket: the component of most of its nodes, known by one of them
+    sizes = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.min("node").alias("anchor"))
+    homes = sizes.groupBy("bucket").agg(
+        F.max_by("anchor", F.struct("n", "part")).alias("anchor"), F.count("*").alias("n_parts")
+    ).where("n_parts > 1").select("bucket", "anchor", F.lit(-1).cast("long").alias("after"))
+    homes, n_leads = cut_lineage(homes), LEADS
+    while True:
+        placed = _with_part(wide.join(homes, "bucket"), parts, "node", "part")
+        placed = cut_lineage(_with_part(placed, parts, "anchor", "home").select(
+            "bucket", "node", "n_cells", "part", "n", "anchor", "after",
+            ((F.col("part") != F.col("home")) & (F.col("node") > F.col("after"))).alias("outside"),
+        ))
+        rank = Window.partitionBy("bucket").orderBy("node")
+        leads = cut_lineage(placed.where("outside").withColumn("rank", F.row_number().over(rank)).where(
+            F.col("rank") <= n_leads
+        ).select("bucket", "node", ((F.col("rank") - 1) / LEADS).cast("int").alias("row")))
+        if not leads.head(1):
+            return parts
+        links = cut_lineage(_met(_bucket_cells(placed, leads), texts, threshold))
+        ends = _with_part(_with_part(links, parts, "a", "pa"), parts, "b", "pb")
+        merged = connected_components(ends.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
+        moved = _with_part(parts.unionByName(_new_nodes(links, parts)), merged, "component", "now")
+        parts = cut_lineage(moved.select("node", F.col("now").alias("component")))
+        last = leads.groupBy("bucket").agg(F.max("node").alias("last"), F.count("*").alias("n"))
+        # a bucket that had fewer leads than it could have has none left
+        homes = cut_lineage(homes.join(last.where(F.col("n") == n_leads), "bucket").select(
+            "bucket", "anchor", F.col("last").alias("after")
+        ))
+        if not homes.head(1):
+            return parts
+        n_leads *= MORE_LEADS
+
+
+def _with_part(df: DataFrame, parts: DataFrame, node: str, out: str) -> DataFrame:
+    """``df`` with the component of a node column; a node without links is its own."""
+    named = parts.select(F.col("node").alias("_of"), F.col("component").alias("_part"))
+    return df.join(named, F.col(node) == F.col("_of"), "left").withColumn(
+        out, F.coalesce("_part", F.col(node))
+    ).drop("_of", "_part")
+
+
+def _new_nodes(links: DataFrame, parts: DataFrame) -> DataFrame:
+    """Nodes of links that had none before, as components of their own."""
+    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    return nodes.join(parts, "node", "left_anti").select("node", F.col("node").alias("component"))
+
+
+def links_to_leads(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) for nodes as similar as wanted to the smallest node of one of their buckets.
+
+    A lead's text goes once to every cell of about ``CELL_NODES`` nodes, however many buckets the pairs share.
+    """
+    near = F.least("n_cells", "lead_cells") >= F.greatest("n_cells", "lead_cells") * threshold
+    pairs = cut_lineage(members.where("node <> lead").where(near).select("node", "lead").distinct())
+    sizes = pairs.groupBy("lead").agg(F.ceil(F.count("*") / CELL_NODES).alias("cols"))
+    nodes = pairs.join(sizes, "lead").select(
+        F.col("lead").alias("bucket"), F.lit(0).alias("row"), _place("cols").alias("col"), "node",
+        F.col("node").alias("part"), F.lit(False).alias("leads"),
+    )
+    leads = sizes.select(
+        F.col("lead").alias("bucket"), F.lit(0).alias("row"), _every("cols").alias("col"), F.col("lead").alias("node"),
+        F.col("lead").alias("part"), F.lit(True).alias("leads"),
     )
-    return rows.join(
-        places, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
-    ).select("node", "text").dropDuplicates(["node"])
+    return cut_lineage(_met(nodes.unionByName(leads), texts, threshold))
 
 
-def _links_to_leads(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) for nodes as similar as wanted to the smallest node of one of their buckets."""
-    near = F.least("n_cells", "lead_cells") >= F.greatest("n_cells", "lead_cells") * threshold
-    pairs = members.where("node <> lead").where(near).select("node", "lead").distinct()
-    as_bytes = F.col("text").cast("binary")
-    with_texts = pairs.join(texts.select("node", as_bytes.alias("node_text")), "node").join(
-        texts.select(F.col("node").alias("lead"), as_bytes.alias("lead_text")), "lead"
-    ).select("node", "lead", "node_text", "lead_text")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last, last_cells = WordHashes(), None, None
-        for batch in batches:
-            a, b = [], []
-            for node, lead, text, lead_text in zip(*batch.columns, strict=True):
-                node, lead = node.as_py(), lead.as_py()
-                if lead != last:
-                    last, last_cells = lead, unit_cells(folded_words(lead_text.as_py()), hashes)
-                if weighted_jaccard(unit_cells(folded_words(text.as_py()), hashes), last_cells) >= threshold:
-                    a.append(node)
-                    b.append(lead)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return with_texts.mapInArrow(verify, "a long, b long")
-
-
-def _links_between_parts(members: DataFrame, parts: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) for similar nodes of one bucket that are in different components so far.
-
-    Nodes outside the lead's component meet all nodes of the bucket. Both sides are cut into blocks of about
-    ``BLOCK`` nodes by hash; a pair of blocks is one cell, compared in one task. Only links leave a cell.
+def _place(count: str):
+    return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+
+
+def _every(count: str):
+    return F.explode(F.sequence(F.lit(0), (F.col(count) - 1).cast("int")))
+
+
+def _bucket_cells(placed: DataFrame, leads: DataFrame) -> DataFrame:
+    """Rows of cells (bucket, row, col): nodes once per block of leads, leads once per block of nodes.
+
+    A lead meets the nodes of its own block as well, and other leads there or in their cells.
+    """
+    rows = leads.groupBy("bucket").agg((F.max("row") + 1).alias("rows"))
+    sized = placed.join(rows, "bucket").withColumn("cols", F.ceil(F.col("n") / CELL_NODES))
+    own = _place("cols")
+    nodes = sized.select("bucket", _every("rows").alias("row"), own.alias("col"), "node", "part", F.lit(False).alias("leads"))
+    named = leads.join(sized.select("bucket", "node", "part", "cols"), ["bucket", "node"])
+    leading = named.select("bucket", "row", _every("cols").alias("col"), "node", "part", F.lit(True).alias("leads"))
+    both = nodes.unionByName(leading)
+    # a lead in its own block of nodes is one row, not two
+    return both.groupBy("bucket", "row", "col", "node", "part").agg(F.max("leads").alias("leads"))
+
+
+def _met(cells: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """A spanning forest of the links that leads and nodes of a cell have, beyond those of equal ``part``.
+
+    Cells have columns bucket, row, col, node, part, leads.
     """
-    lead_parts = parts.select(F.col("node").alias("lead"), F.col("component").alias("lead_part"))
-    placed = members.where("n > 2").join(parts, "node", "left").join(lead_parts, "lead", "left").select(
-        "bucket", "node", "n_cells", "n", F.coalesce("component", "node").alias("part"),
-        (F.coalesce("component", "node") != F.coalesce("lead_part", "lead")).alias("outside"), "lead",
-    )
-    open_buckets = placed.groupBy("bucket").agg(F.count_if("outside").alias("n_outside")).where("n_outside > 0")
-    placed = cut_lineage(placed.join(open_buckets, "bucket"))
-    sides = placed.join(texts.select("node", F.col("text").cast("binary").alias("text")), "node")
-    left_blocks, right_blocks = F.ceil(F.col("n_outside") / BLOCK), F.ceil(F.col("n") / BLOCK)
-    every = lambda count: F.explode(F.sequence(F.lit(0), (count - 1).cast("int")))
-    own = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), count).cast("int")
-    fields = ["bucket", "node", "part", "n_cells", "text"]
-    left = sides.where("outside").select(
-        *fields, F.lit(True).alias("left"), own(left_blocks, 1).alias("row"), every(right_blocks).alias("col")
-    )
-    right = sides.select(
-        *fields, F.lit(False).alias("left"), every(left_blocks).alias("row"), own(right_blocks, 2).alias("col")
-    )
 
     def compare(cell: pa.Table) -> pa.Table:
         hashes = WordHashes()
-        nodes = [
-            (node, part, unit_cells(folded_words(text), hashes), is_left)
-            for node, part, text, is_left in zip(
-                *(cell.column(c).to_pylist() for c in ("node", "part", "text", "left")), strict=True
-            )
-        ]
+        nodes, parts, leads = (cell.column(c).to_pylist() for c in ("node", "part", "leads"))
+        bags = [unit_cells(folded_words(t), hashes) for t in cell.column("text").to_pylist()]
+        top = {p: p for p in parts}
+
+        def part(at: int) -> int:
+            p = parts[at]
+            while top[p] != p:
+                top[p] = p = top[top[p]]
+            return p
+
+        first = [at for at, is_lead in enumerate(leads) if is_lead]
+        everything = np.concatenate([bags[k] for k in first]) if first else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(first)), [len(bags[k]) for k in first])
+        order = np.argsort(everything, kind="stable")
+        everything, owner = everything[order], owner[order]
+        sizes = np.array([len(bags[k]) for k in first])
         a, b = [], []
-        for node, part, cells, is_left in nodes:
-            for other, other_part, other_cells, other_left in nodes if is_left else ():
-                if other_left or part == other_part:
-                    continue
-                few, many = sorted((len(cells), len(other_cells)))
-                if few >= many * threshold and weighted_jaccard(cells, other_cells) >= threshold:
-                    a.append(node)
-                    b.append(other)
+        for at, bag in enumerate(bags):
+            low, high = np.searchsorted(everything, bag, "left"), np.searchsorted(everything, bag, "right")
+            spread = high - low
+            places = np.repeat(low - np.concatenate(([0], np.cumsum(spread)[:-1])), spread) + np.arange(spread.sum())
+            shared = np.bincount(owner[places], minlength=len(first))
+            for k in np.flatnonzero(shared / (len(bag) + sizes - shared) >= threshold).tolist():
+                own, other = part(at), part(first[k])
+                if own != other:
+                    top[max(own, other)] = min(own, other)
+                    a.append(nodes[at])
+                    b.append(nodes[first[k]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return left.unionByName(right).groupBy("bucket", "row", "col").applyInArrow(compare, "a long, b long").distinct()
+    whole = cells.join(texts, "node").select("bucket", "row", "col", "node", "part", "leads", "text")
+    return whole.groupBy("bucket", "row", "col").applyInArrow(compare, "a long, b long")

@@ -75,7 +75,8 @@ def contamination(text, items, width=10):
         for w in windows:
             for i in places.get(w, ()):
                 hit.update(range(i, i + len(w)))
-                found.add(name)
+                if name is not None:
+                    found.add(name)
     return len(words), len(hit), len(found), sha256(",".join(sorted(found))), bool(hit)
 
 
@@ -84,7 +85,7 @@ def benchmark_windows(rows, width=10):
     for name, text in rows:
         words = folded(text)
         n = min(width, len(words))
-        windows.append((str(name), {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if words else set()))
+        windows.append((None if name is None else str(name), {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if words else set()))
     return {"windows": windows, "short": {len(w) for _, ws in windows for w in ws if len(w) < width}}
 
 

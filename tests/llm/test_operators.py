@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import random
 import zlib
 from collections import defaultdict
@@ -79,16 +80,48 @@ def test_links_without_the_lead(spark, monkeypatch):
     rng.shuffle(texts)
     table = spark.createDataFrame(list(enumerate(texts)), "node bigint, text string")
     members = table.selectExpr("node", "96 as n_cells", "7L as bucket", "0L as lead", "96 as lead_cells", "9L as n")
-    monkeypatch.setattr(near_duplicates, "BLOCK", 2)
-    links = near_duplicates._links_to_leads(members, table, 0.7)
-    parts = near_duplicates.connected_components(links)
-    more = near_duplicates._links_between_parts(members, parts, table, 0.7)
-    parts = near_duplicates.connected_components(links.unionByName(more))
+    for name, value in (("LEADS", 2), ("CELL_NODES", 3), ("MORE_LEADS", 1)):
+        monkeypatch.setattr(near_duplicates, name, value)
+    table = table.withColumn("text", F.col("text").cast("binary"))
+    links = near_duplicates.links_to_leads(members, table, 0.7)
+    parts = near_duplicates.components_in_buckets(members, table, 0.7)
     want = dict(brute.near_classes(list(enumerate(texts)), 0.7))
     assert links.count() < 4 and set(want.values()) == {0}
     assert {r["node"]: r["component"] for r in parts.collect()} == want
 
 
+def test_links_of_a_large_group_grow_with_its_nodes(spark, monkeypatch):
+    """Copies of one text, each changed so that most pairs are near and many are not: links stay a forest per cell."""
+    rng = random.Random(12)
+    base = prose(rng, 120, 5000).split()
+    texts = []
+    for k in range(300):
+        own = list(base)
+        for at in rng.sample(range(120), 1 + k % 5):
+            own[at] = f"x{k}_{at}"
+        texts.append(" ".join(own))
+    made, met = [], near_duplicates._met
+
+    def counted(*args):
+        found = met(*args)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_duplicates, "_met", counted)
+    monkeypatch.setattr(near_duplicates, "LEADS", 16)
+    found = near_duplicates.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert rows_of(found, "doc_id", "class_id") == sorted(brute.near_classes(list(enumerate(texts))), key=str)
+    assert sum(made) < 24 * len(texts)
+
+
+def test_rows_of_one_id_and_text_keep_the_least(spark):
+    text = prose(random.Random(1), 50)
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, None), (2, text, "0"), (None, text, "c"), (3, None, "z"), (3, None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, note string").repartition(3)
+    kept = sorted(map(tuple, near_duplicates.keep_first(docs).collect()), key=str)
+    assert kept == [(1, text, None), (3, None, "y")]
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = random.Random(3)
     a = [f"w{rng.randrange(60)}".encode() for _ in range(400)]
@@ -109,6 +142,7 @@ def test_decontamination(spark, docs, block_bytes):
     items = [
         (1, " ".join(texts[4].split()[5:30]).upper()), (2, "one"), (3, ""), (4, None), (5, "B C"),
         (6, " ".join(texts[5].split()[:10])), (6, " ".join(texts[5].split()[:10])), (7, prose(random.Random(99), 40)),
+        (None, " ".join(texts[8].split()[3:40])),
     ]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontamination.benchmark_hits(docs, benchmark, block_bytes=block_bytes)
@@ -421,3 +455,70 @@ def test_empty_tables(spark, docs):
     assert repeated_passages.remove_repeated_passages(none).count() == 0
     network = quality_classifier.fit(none, spark.createDataFrame([], "doc_id bigint, quality int"))
     assert network.constant == 0.5 and quality_classifier.with_score(none, network).count() == 0
+
+
+def test_gzip_members():
+    members = [gzip.compress(f"record {k}\n".encode() * (k % 50)) for k in range(3000)] + [gzip.compress(b"x" * 300_000)]
+    want = b"".join(f"record {k}\n".encode() * (k % 50) for k in range(3000)) + b"x" * 300_000
+    assert archives.unzipped(b"".join(members)) == want
+    with pytest.raises(archives.ArchiveError):
+        archives.unzipped(b"".join(members)[:-5])
+
+
+def test_large_pages_get_files_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "FILE_BYTES", 20_000)
+    rows = [(k, f"http://x/{k}", "y" * (15_000 if k % 20 == 3 else 5)) for k in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    archives.write_arc(pages, f"{tmp_path}/arc", records_per_file=10)
+    counts = [len(list(archives.arc_records(archives.unzipped(f.read_bytes())))) for f in tmp_path.glob("arc/part-*")]
+    assert sorted(counts) == [1] * 3 + [7] + [10] * 5
+    archives.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc", records_per_file=10)
+    read = archives.read_warc(spark, f"{tmp_path}/warc")
+    assert sorted((int(r["page_id"]), r["payload_bytes"]) for r in read.collect()) == [(k, len(h)) for k, _, h in rows]
+
+
+def test_foreign_bytes_come_through(spark, tmp_path):
+    """Payloads that are no UTF-8, in gzip members, as an archive from elsewhere has them."""
+    payloads = [bytes(range(256)) * 3, "né".encode("latin-1"), b"", b"\xff\xfe\r\n\r\nARC"]
+    block = f"1 0 org\n{archives.ARC_TITLES[1]}\n".encode()
+    records = [b"filedesc://a 0.0.0.0 2001 text/plain %d\n" % len(block) + block]
+    for k, payload in enumerate(payloads):
+        records.append(b"\nhttp://x/%d 1.2.3.4 2001 text/html %d\n" % (k, len(payload)) + payload)
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "old.arc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    archives.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    read = archives.read_warc(spark, f"{tmp_path}/warc").collect()
+    assert sorted((r["target"], bytes(r["payload"])) for r in read) == [(f"http://x/{k}", p) for k, p in enumerate(payloads)]
+    assert all(r["payload_digest"] == archives.sha1_base32(bytes(r["payload"])) for r in read)
+
+
+def test_ownership_counts_owners_and_repositories(spark):
+    rows = [(1, "a", r) for r in range(9)]  # one owner, many repositories
+    rows += [(2, o, r) for o, r in (("a", 1), ("a", 2), ("b", 3), ("b", 4))] * 3  # two owners, four repositories
+    rows += [(3, o, r) for o, r in (("a", 1), ("a", 2), ("a", 5), ("b", 3), ("b", 4))]  # two owners, five
+    rows += [(4, o, 1) for o in ("a", None, "")] + [(5, None, 1), (5, None, 1)]
+    table = spark.createDataFrame(rows, "hash bigint, owner string, repository int")
+    found = {r["hash"]: (r["n_owners"], r["n_repositories"], r["example"]) for r in secrets.ownership(table).collect()}
+    assert found == {1: (1, 9, False), 2: (2, 4, False), 3: (2, 5, True), 4: (3, 3, True), 5: (1, 1, False)}
+
+
+def test_long_training_texts_count_to_the_end():
+    """A sign in one chunk out of many decides, wherever it is; blocks of chunks give the gradient of all at once."""
+    rng = random.Random(4)
+    texts, labels = [], []
+    for k in range(120):
+        body = prose(rng, 900, 3000)
+        at = rng.randrange(2000, 4000)
+        texts.append((body[:at] + (" $$$$$$$$$$$$$$$$ " if k % 2 else " ") + body[at:]).encode())
+        labels.append(k % 2)
+    block = np.concatenate([quality_classifier.chunks(t) for t in texts[:8]])
+    counts = np.array([len(quality_classifier.chunks(t)) for t in texts[:8]])
+    w, y = quality_classifier.initial(), np.array(labels[:8], np.float32)
+    whole = quality_classifier._gradients(block, counts, y, w)
+    before, quality_classifier.TRAIN_BLOCK = quality_classifier.TRAIN_BLOCK, 10
+    cut = quality_classifier._gradients(block, counts, y, w)
+    quality_classifier.TRAIN_BLOCK = before
+    assert all(np.allclose(whole[k], cut[k], atol=1e-5) for k in whole)
+    network = quality_classifier.train(texts[:90], labels[:90])
+    right = sum((quality_classifier.score(t, network) >= 0.5) == bool(y) for t, y in zip(texts[90:], labels[90:]))
+    assert right >= 27
