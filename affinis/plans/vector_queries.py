@@ -14,6 +14,7 @@ from affinis.operators import hashing as H
 from affinis.operators import rules as U
 from affinis.operators import text as X
 from affinis.operators.dictionary import dictionary, encode
+from affinis.operators.joins import grid_join
 from affinis.operators.sampling import hash_below
 from affinis.plans import text_queries  # noqa: F401  (defines token views of the oracle)
 from affinis.plans import views as V
@@ -168,24 +169,34 @@ def _text_points(spark, sf):
 
 
 def _clustered(points, centres):
-    """Per point: is its centre as near as the nearest of them?"""
+    """Per point: is its centre as near as the nearest of them?
+
+    Found by the cells, checked by a join on the words and sums: a centre without a common word is at distance 1.
+    """
     found = cut_lineage(B.nearest(points, centres, "tanimoto"))
-    other = B.close_pairs(points, centres, 2.0, "tanimoto").groupBy("id").agg(F.min("distance").alias("least"))
-    return found.join(other, "id").select("id", (F.abs(F.col("distance") - F.col("least")) < 1e-6).alias("nearest"))
+    words = points.select("id", "norm2", F.inline(F.arrays_zip("indices", "values"))).toDF("id", "pp", "key", "x")
+    theirs = centres.select("id", "norm2", F.inline(F.arrays_zip("indices", "values"))).toDF("centre", "cc", "key", "y")
+    dots = grid_join(words, theirs, ["key"], "id", "centre").groupBy("id", "centre").agg(
+        F.sum(F.col("x") * F.col("y")).alias("dot"), F.max("pp").alias("pp"), F.max("cc").alias("cc")
+    )
+    distance = 1 - F.col("dot") / (F.col("pp") + F.col("cc") - F.col("dot"))
+    least = dots.groupBy("id").agg(F.least(F.min(distance), F.lit(1.0)).alias("least"))
+    checked = found.join(least, "id", "left").withColumn("least", F.coalesce("least", F.lit(1.0)))
+    return checked.select("id", (F.abs(F.col("distance") - F.col("least")) < 1e-6).alias("nearest"))
 
 
 def text_clusters(spark, sf):
     """Words and collocations, TF-IDF, canopies by Tanimoto distance, k-means from the canopies' means."""
     points = _text_points(spark, sf)
     start = B.canopy_means(points, B.canopy_centres(points, 0.9, "tanimoto"), 0.9, "tanimoto")
-    return _clustered(points, B.kmeans(points, start, "tanimoto", 0.01, 10))
+    return _clustered(points, B.kmeans(points, start, "tanimoto", 0.01, 20))
 
 
 def text_clusters_fuzzy(spark, sf):
     """As ``text_clusters``, with fuzzy k-means and Euclidean canopies."""
     points = _text_points(spark, sf)
     start = B.canopy_means(points, B.canopy_centres(points, 1.38, "euclidean"), 1.38, "euclidean")
-    return _clustered(points, B.fuzzy_kmeans(points, start, "tanimoto", 2.0, 0.01, 3))
+    return _clustered(points, B.fuzzy_kmeans(points, start, "tanimoto", 2.0, 0.01, 20))
 
 
 def label_centroids(spark, sf):
