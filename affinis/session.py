@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,18 +28,33 @@ def local_session(cpus: int | str = 8, driver_memory: str = "8g", shared: str |
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, with a part of its own for this application.
 
-    That is ``spark.checkpoint.dir`` of the session, or the warehouse folder where it is unset, never a folder
-    of one machine's own choice.
+    That is ``spark.checkpoint.dir`` of the session. Where it is unset, a session whose executors are threads of one
+    machine uses its warehouse folder; on a cluster that folder may be one machine's own, so it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/affinis-{spark.sparkContext.applicationId}"
 
 
+def scratch_table(spark: SparkSession, kind: str) -> str:
+    """A fresh table name of this application, for stages that need a table; ``release_stages`` drops it."""
+    return f"{_table_prefix(spark)}{kind}_{uuid.uuid4().hex}"
+
+
+def _table_prefix(spark: SparkSession) -> str:
+    return "affinis_" + re.sub("[^0-9a-z]", "_", spark.sparkContext.applicationId.lower()) + "_"
+
+
 def release_stages(spark: SparkSession) -> None:
-    """Deletes what this application has written to the shared folder.
+    """Deletes what this application has written to the shared folder, and its scratch tables from the catalog.
 
     Call it when no DataFrame that an operator returned is needed any more.
     """
+    for row in spark.sql(f"SHOW TABLES LIKE '{_table_prefix(spark)}*'").collect():
+        spark.sql(f"DROP TABLE IF EXISTS `{row['tableName']}`")
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
