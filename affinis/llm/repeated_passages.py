@@ -20,7 +20,6 @@ Null and empty texts have no words. A text shorter than a window loses nothing.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.words import NO_HASHES, WordHashes, mixed, plain_words, window_hashes
-from affinis.session import cut_lineage, scratch_path
+from affinis.session import cut_lineage, scratch_path, scratch_table
 
 WIDTH = 35
 #: A perfect difference set. Every number below 21 is a difference of two of its members, modulo 21.
@@ -234,9 +233,9 @@ def _stored_units(docs: DataFrame, doc_id: str, text: str, buckets: int, unit_by
     ).alias("doc"))
     item = packed.schema["doc"].dataType.simpleString()
     units = packed.mapInArrow(lambda batches: _unit_rows(batches, unit_bytes), f"unit long, docs array<{item}>")
-    name = f"units_{uuid.uuid4().hex}"
+    name = scratch_table(spark, "units")
     (
-        units.repartition(buckets, "unit").write.option("path", scratch_path(spark, name))
+        units.repartition(buckets, "unit").write.option("path", scratch_path(spark, "units"))
         .option("compression", "zstd").bucketBy(buckets, "unit").sortBy("unit").saveAsTable(name)
     )
     return spark.table(name)

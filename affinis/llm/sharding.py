@@ -69,15 +69,22 @@ def number_slots(rows: DataFrame, block_rows: int = 100_000) -> DataFrame:
 
     Shards are numbered in parts: rows get a part by hash, parts are counted, and a part's rows are numbered from
     the number of rows before it. No task sees more than a part (about ``block_rows``) or the table of counts.
+    A column ``slot`` is replaced, all others are kept whatever their names.
     """
-    rows = cut_lineage(rows.withColumn("slot_row", F.monotonically_increasing_id()))
+    row, part, start, within = (_free(name, rows) for name in ("slot_row", "slot_part", "slot_start", "slot_within"))
+    rows = cut_lineage(rows.drop("slot").withColumn(row, F.monotonically_increasing_id()))
     parts = max(1, -(-rows.count() // block_rows))
-    rows = rows.withColumn("slot_part", F.pmod(F.xxhash64("slot_row"), F.lit(parts)).cast("int"))
-    counts = rows.groupBy("shard", "slot_part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.expr("sum(n) over (partition by shard order by slot_part rows between unbounded preceding and 1 preceding)"), F.lit(0))
-    starts = counts.select("shard", "slot_part", before.alias("slot_start"))
-    within = F.expr("row_number() over (partition by shard, slot_part order by slot_row)")
-    numbered = rows.withColumn("slot_within", within).join(starts, ["shard", "slot_part"])
-    return numbered.withColumn("slot", F.col("slot_start") + F.col("slot_within") - 1).drop(
-        "slot_row", "slot_part", "slot_start", "slot_within"
-    )
+    rows = rows.withColumn(part, F.pmod(F.xxhash64(row), F.lit(parts)).cast("int"))
+    counts = rows.groupBy("shard", part).agg(F.count("*").alias("n"))
+    before = F.expr(f"sum(n) over (partition by shard order by {part} rows between unbounded preceding and 1 preceding)")
+    starts = counts.select("shard", part, F.coalesce(before, F.lit(0)).alias(start))
+    place = F.expr(f"row_number() over (partition by shard, {part} order by {row})")
+    numbered = rows.withColumn(within, place).join(starts, ["shard", part])
+    return numbered.withColumn("slot", F.col(start) + F.col(within) - 1).drop(row, part, start, within)
+
+
+def _free(name: str, rows: DataFrame) -> str:
+    """The name, lengthened until no column has it."""
+    while name in rows.columns:
+        name += "_"
+    return name

@@ -522,3 +522,37 @@ def test_long_training_texts_count_to_the_end():
     network = quality_classifier.train(texts[:90], labels[:90])
     right = sum((quality_classifier.score(t, network) >= 0.5) == bool(y) for t, y in zip(texts[90:], labels[90:]))
     assert right >= 27
+
+
+def test_slots_keep_columns_of_any_name(spark):
+    rows = [(i, f"r{i}", i * 2, i * 3, "w", 9) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, slot_row string, slot_part int, slot_start int, slot_within string, slot int")
+    found = sharding.number_slots(sharding.assign_shards(df, "doc_id", 4), block_rows=7).collect()
+    kept = sorted((r["doc_id"], r["slot_row"], r["slot_part"], r["slot_start"], r["slot_within"]) for r in found)
+    assert kept == [r[:5] for r in rows]
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+
+
+def test_near_copies_are_found_by_brute_force(spark):
+    """Every pair of different texts at 0.8 or more, by counting shared shingles, is in one class."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    classes = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicate_classes(docs).collect()}
+    bags = {r["doc_id"]: brute.shingles(r["text"]) for r in docs.collect() if r["text"]}
+    owners = defaultdict(list)
+    for i, bag in bags.items():
+        for shingle, n in bag.items():
+            owners[shingle].append((i, n))
+    shared = defaultdict(int)
+    for own in owners.values():
+        for a, n in own:
+            for b, m in own:
+                if a < b:
+                    shared[a, b] += min(n, m)
+    sizes = {i: sum(bag.values()) for i, bag in bags.items()}
+    pairs = [(a, b) for (a, b), n in shared.items() if n / (sizes[a] + sizes[b] - n) >= 0.8]
+    found = sum(classes[a] == classes[b] for a, b in pairs)
+    print(f"pairs at 0.8: {len(pairs)}, in one class: {found}")
+    assert len(pairs) > 50 and found >= 0.99 * len(pairs)
