@@ -5,12 +5,13 @@ three tables: how far the search may jump on a block of words, which patterns en
 patterns themselves. A block that ends no pattern moves the search on by its shift; a block that does leads to
 a bucket of patterns, each compared word by word.
 
-The benchmark is read in blocks of about ``block_bytes`` of text, by a hash of the item. Only one block's texts
-are on the driver and in the broadcast at a time, and each adds one pass of the documents through Python; a
-usual benchmark is one block.
+The benchmark is read in blocks of about ``block_bytes`` of text, by a hash of the item. A usual benchmark is one
+block and one pass of the documents. With more, each block's narrow hits are written before the next block is read and
+its broadcast is destroyed, so only one block's texts are on the driver and the workers at a time.
 
 Null and wordless texts have no words, hence no hits. Items without words are no patterns; an item of fewer words
-than a window is one pattern. Equal items all count. Repeated documents each get their own row.
+than a window is one pattern. An item with a null id is searched like others: its words are hit and make a document
+contaminated, but it has no name to list. Equal items all count. Repeated documents each get their own row.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from affinis.llm.columns import with_text_column
 from affinis.llm.words import folded_words
+from affinis.session import cut_lineage
 
 HITS = StructType([
     StructField("n_words", LongType()),
@@ -63,7 +65,7 @@ class WuManber:
             end += 1
 
 
-def compile_items(items: list[tuple[str, bytes]], width: int) -> list[WuManber]:
+def compile_items(items: list[tuple[str | None, bytes]], width: int) -> list[WuManber]:
     """One table set per pattern length."""
     by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
     for name, text in items:
@@ -105,38 +107,56 @@ def benchmark_hits(
     spark = docs.sparkSession
     items = benchmark.select(
         F.col(item).cast("string").alias("name"), F.col(item_text).cast("binary").alias("text")
-    ).where("name is not null and text is not null")
+    ).where("text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     part = F.pmod(F.xxhash64("name", "text"), F.lit(n_blocks))
+
+    def sent(number: int):
+        return spark.sparkContext.broadcast([(r["name"], bytes(r["text"])) for r in items.where(part == number).collect()])
+
+    if n_blocks == 1:
+        block = sent(0)
+        return with_text_column(docs, text, out, HITS, lambda: _hits_of(block.value, width))
+    names = [c for c in docs.columns if c != out]
+    held = cut_lineage(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("whole"), F.col(f"`{text}`").alias("text")
+    ).withColumn("row", F.monotonically_increasing_id()))
+    found = []
     for number in range(n_blocks):
-        block = [(r["name"], bytes(r["text"])) for r in items.where(part == number).collect()]
-        sent = spark.sparkContext.broadcast(block)
-        column = out
-        while number and column in docs.columns:
-            column += "_"
-        docs = with_text_column(docs, text, column, HITS, lambda sent=sent: _hits_of(sent.value, width))
-        if number:
-            docs = docs.withColumn(out, _both(F.col(out), F.col(column))).drop(column)
-    return docs
-
-
-def _hits_of(items: list[tuple[str, bytes]], width: int):
+        block = sent(number)
+        hits = with_text_column(held.select("row", "text"), "text", "hits", HITS, lambda block=block: _hits_of(block.value, width))
+        keep = F.lit(number == 0) | (F.size("hits.spans") > 0)
+        found.append(cut_lineage(hits.select("row", "hits").where(keep)))
+        block.destroy()
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    # at most one row per document and block, so a group is as large as the benchmark has blocks
+    whole = every.groupBy("row").agg(
+        F.max("hits.n_words").alias("n_words"), F.flatten(F.collect_list("hits.spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits.items")))).alias("items"),
+    ).select("row", F.struct("n_words", _merged_spans(F.col("spans")).alias("spans"), "items").alias("found"))
+    joined = held.select("row", "whole").join(whole, "row")
+    return joined.select(*[F.col("whole").getField(c).alias(c) for c in names], F.col("found").alias(out))
+
+
+def _hits_of(items: list[tuple[str | None, bytes]], width: int):
     searches = compile_items(items, width)
 
     def of(value: bytes | None) -> dict:
         words = folded_words(value)
         spans, names = find_hits(words, searches)
-        return {"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)}
+        return {"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(n for n in names if n is not None)}
 
     return of
 
 
-def _both(a, b):
-    """Two blocks' hits as one: spans joined where they meet, items together."""
-    spans = F.array_sort(F.concat(a["spans"], b["spans"]))
+def _merged_spans(spans):
+    """Spans in order, joined where they meet."""
+    kind = HITS["spans"].dataType
     joined = F.aggregate(
-        spans, F.lit(None).cast(HITS["spans"].dataType),
+        F.array_sort(spans), F.lit(None).cast(kind),
         lambda done, s: F.when(done.isNull(), F.array(s)).when(
             s["start"] <= F.element_at(done, -1)["end"],
             F.concat(
@@ -148,10 +168,7 @@ def _both(a, b):
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    return F.struct(
-        a["n_words"].alias("n_words"), F.coalesce(joined, F.array().cast(HITS["spans"].dataType)).alias("spans"),
-        F.array_sort(F.array_distinct(F.concat(a["items"], b["items"]))).alias("items"),
-    )
+    return F.coalesce(joined, F.array().cast(kind))
 
 
 def n_hit(hits) -> F.Column:

@@ -264,7 +264,7 @@ ORACLE: dict[str, str] = {
           SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS pos FROM o)
           GROUP BY 1),
         t AS (
-          SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
           FROM (SELECT DISTINCT r, item FROM o) GROUP BY 1)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
