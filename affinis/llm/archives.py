@@ -8,9 +8,11 @@ The converter writes one WARC record per ARC record: ``response``, or ``revisit`
 that has the smallest key. Record ids come from archive and position, so a rerun task writes the same ids; dates
 from the 14-digit ARC date; digests are SHA-1 in base32.
 
-Archives are written by Spark's text writer, gzipped, ``records_per_file`` records in each, and read as binary files:
-an archive is parsed in one task, so its size is the unit of memory. Foreign archives over Spark's limit for binary
-files (2 GB) must be cut first. Lines that are no header end the parsing of that archive with an error.
+Archives are written by Spark's text writer, gzipped, and read as binary files: an archive is parsed in one task, so its
+size is the unit of memory. A file has at most ``records_per_file`` records and about ``FILE_BYTES`` before
+compression: where that many records of one size would be more, the larger records go to files of their own with
+fewer in each. Foreign archives over Spark's limit for binary files (2 GB) must be cut first. Lines that are no header end
+the parsing of that archive with an error. Null html is an empty payload, repeated rows are records of their own.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from affinis.session import cut_lineage, scratch_path
 
 RECORDS_PER_FILE = 4_000
+FILE_BYTES = 1_000_000_000
+GZIP_STEP = 1 << 16
 #: Header fields by version.
 ARC_FIELDS = {
     1: ("url", "address", "date", "type", "length"),
@@ -62,11 +66,16 @@ def unzipped(data: bytes) -> bytes:
     """All gzip members of an archive, or the data as it is."""
     if data[:2] != b"\x1f\x8b":
         return data
-    parts = []
-    while data[:2] == b"\x1f\x8b":
+    parts, whole, at = [], memoryview(data), 0
+    while data[at:at + 2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        parts.append(member.decompress(data))
-        data = member.unused_data
+        # by steps, so that the rest of the archive is not copied once per member
+        while not member.eof and at < len(data):
+            parts.append(member.decompress(whole[at:at + GZIP_STEP]))
+            at += min(GZIP_STEP, len(data) - at)
+        if not member.eof:
+            raise ArchiveError("a gzip member is cut off")
+        at -= len(member.unused_data)
     return b"".join(parts)
 
 
@@ -148,7 +157,10 @@ def write_arc(
         field(F.col(url), "unknown:"), F.lit(f" 0.0.0.0 {date} text/html {more}"),
         F.octet_length(content).cast("string"), F.lit("\n"), content,
     )
-    _with_heads(pages.select(record.alias("value")), _arc_head(version, date), "\n", path, records_per_file)
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (url, html)), F.lit(1024))
+    largest = pages.agg(F.max(size)).first()[0] or 0
+    records = pages.select(record.alias("value"), size.alias("size"))
+    _with_heads(records, _arc_head(version, date), "\n", path, records_per_file, largest)
 
 
 def _arc_head(version: int, date: str) -> str:
@@ -157,13 +169,20 @@ def _arc_head(version: int, date: str) -> str:
     return f"filedesc://pages.arc 0.0.0.0 {date} text/plain {more}{len(block)}\n{block}"
 
 
-def _with_heads(records: DataFrame, head: str, end: str, path: str, records_per_file: int) -> None:
-    """Text files of at most ``records_per_file`` records; each begins with ``head``."""
+def _with_heads(records: DataFrame, head: str, end: str, path: str, records_per_file: int, largest: int) -> None:
+    """Text files of rows (value, size), each begun by ``head``; ``largest`` is the largest size, in bytes."""
+    small = FILE_BYTES // records_per_file
+    _text_files(records if largest <= small else records.where(F.col("size") <= small), head, end, path, records_per_file)
+    if largest > small:
+        _text_files(records.where(F.col("size") > small), head, end, path, max(1, FILE_BYTES // largest))
+
+
+def _text_files(records: DataFrame, head: str, end: str, path: str, records_per_file: int) -> None:
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     first = F.col("number") % records_per_file == 0
     value = F.when(first, F.concat(F.lit(head + end), "value")).otherwise(F.col("value"))
     (
-        records.withColumn("number", number).select(value.alias("value")).write.option("lineSep", end)
+        records.withColumn("number", number).select(value.alias("value")).write.mode("append").option("lineSep", end)
         .option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
     )
 
@@ -247,9 +266,12 @@ def convert(spark, arc_path: str, warc_path: str, least_revisit_bytes: int = 0,
         ).otherwise(F.col("type"))),
         line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"),
     )
+    # the heads of HTTP and WARC, and what a URL adds to them
+    size = F.col("payload_bytes") + F.octet_length("url") + 4096
+    largest = narrow.agg(F.max(size)).first()[0] or 0
     _with_heads(
-        records.select(F.concat(head.cast("binary"), block).cast("string").alias("value")), _warc_head(), END,
-        warc_path, records_per_file,
+        records.select(F.concat(head.cast("binary"), block).cast("string").alias("value"), size.alias("size")),
+        _warc_head(), END, warc_path, records_per_file, largest,
     )
 
 
