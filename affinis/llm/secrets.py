@@ -2,12 +2,13 @@
 
 Three base kinds are found in every text: assignments, access keys, long hex runs. A fourth, ``token``, takes other
 long mixed runs that look random. Candidates are hashed (values are never kept) and counted over the whole corpus by
-distinct repositories and owners: a value that many owners have is a copied example, one that few have looks live.
-Counting removes repeated (hash, owner, repository) rows first, with map-side combine, so a placeholder in a third
-of all texts costs a row per repository.
+distinct repositories and owners. A value of ``wide`` owners or more is a copied example; so is one of two owners or
+more that ``wide_repositories`` repositories have. A value of one owner looks live in however many repositories it is,
+as does one that few repositories of few owners have. Counting removes repeated (hash, owner, repository) rows first,
+with map-side combine, so a placeholder in a third of all texts costs a row per repository.
 
 All base spans are reported whatever the verdict; a ``token`` span is reported only if it looks live.
-Null texts are empty. Null owners count as one owner. Repeated rows each report their spans and count once.
+Null texts are empty. Null owners count as one owner, apart from the empty name. Repeated rows each report their spans and count once.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ KINDS = ("assign", "access", "hex", "token")
 
 TOKEN = re.compile(rb"[A-Za-z0-9+/_-]+={0,2}")
 TOKEN_CHARS = 24
+#: Owners, and repositories of more than one owner, that make a value an example.
+WIDE, WIDE_REPOSITORIES = 3, 5
 
 _IS_HEX = bytes(104 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 _IS_TOKEN = bytes(116 if chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/_-") else 32 for b in range(256))
@@ -96,20 +99,18 @@ def with_candidates(docs: DataFrame, text: str = "text", out: str = "candidates"
     return with_text_column(docs, text, out, CANDIDATES, lambda: find_candidates)
 
 
-def ownership(candidates: DataFrame, wide: int = 3) -> DataFrame:
-    """(hash, n_owners, n_repositories, example) from rows (hash, owner, repository).
-
-    A value of ``wide`` owners or more is an example.
-    """
-    seen = candidates.select("hash", F.coalesce("owner", F.lit("")).alias("owner"), "repository").distinct()
+def ownership(candidates: DataFrame, wide: int = WIDE, wide_repositories: int = WIDE_REPOSITORIES) -> DataFrame:
+    """(hash, n_owners, n_repositories, example) from rows (hash, owner, repository)."""
+    seen = candidates.select("hash", "owner", "repository").distinct()
     by_owner = seen.groupBy("hash", "owner").agg(F.count("*").alias("n"))
+    copied = (F.col("n_owners") >= wide) | ((F.col("n_owners") >= 2) & (F.col("n_repositories") >= wide_repositories))
     return by_owner.groupBy("hash").agg(
         F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories")
-    ).withColumn("example", F.col("n_owners") >= wide)
+    ).withColumn("example", copied)
 
 
 def judged_spans(
-    scanned: DataFrame, owner: Column, repository: Column, candidates: str = "candidates", wide: int = 3,
+    scanned: DataFrame, owner: Column, repository: Column, candidates: str = "candidates", wide: int = WIDE,
 ) -> DataFrame:
     """(row, spans) for every row of ``scanned`` with a candidate; ``scanned`` has a unique ``row``.
 
@@ -128,7 +129,7 @@ def judged_spans(
 
 def scan_secrets(
     docs: DataFrame, text: str = "text", owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
-    wide: int = 3, keep: tuple[str, ...] = ("doc_id",),
+    wide: int = WIDE, keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """The ``keep`` columns of every row of ``docs``, with ``spans`` as of ``judged_spans`` (empty where none)."""
     names = [f"keep_{k}" for k in range(len(keep))]
@@ -155,7 +156,7 @@ def spans_text(spans: Column) -> Column:
 
 def redact(
     docs: DataFrame, text: str = "text", owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
-    wide: int = 3, mark: str = "[secret]",
+    wide: int = WIDE, mark: str = "[secret]",
 ) -> DataFrame:
     """``docs`` with every live-looking span replaced by ``mark``; copied examples stay.
 
