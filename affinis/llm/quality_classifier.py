@@ -4,9 +4,9 @@ A text is its UTF-8 bytes, cut into overlapping chunks that cover all of it. Two
 a chunk: one over embedded bytes, one over agreement signals (does a byte equal the byte 2 to ``LAGS`` places before?),
 which see repetition whatever is repeated. Each filter's output goes through a ramp and is max-pooled within the
 chunk; a text has the largest and the mean chunk response of each filter. A small dense layer makes one
-probability of these. All weights are learned by gradient descent (Adam) on the driver, from a bounded sample: the
-``SAMPLE_ROWS`` labelled training rows of smallest hash, each with at most ``TRAIN_CHUNKS`` of its chunks, drawn anew
-each pass. Scoring reads every chunk of every text.
+probability of these. All weights are learned by gradient descent (Adam) on the driver, from a bounded sample of rows:
+the ``sample_rows`` labelled training rows of smallest hash, with their whole texts. Training and scoring read every
+chunk of a text.
 
 Rows with a null label teach nothing. Null and empty texts are one chunk of padding and get a score like others.
 Without training rows of both labels the score is the share of label 1, or 0.5 without any. Repeated rows get equal
@@ -25,15 +25,14 @@ from pyspark.sql.types import DoubleType
 from affinis.llm.columns import with_text_column
 
 SAMPLE_ROWS = 4_000
-TRAIN_CHUNKS = 3
 CHUNK, OVERLAP = 512, 64
 EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 4, 24
 LAGS, LAG_WIDTH, LAG_STRIDE, LAG_FILTERS = 17, 16, 8, 8
 HIDDEN = 16
 #: A small sample is passed more often, up to the least number of steps.
 PASSES, LEAST_STEPS, BATCH, RATE = 6, 300, 64, 4e-3
-#: Chunks scored at once; bounds a worker's memory.
-BLOCK_CHUNKS = 64
+#: Chunks scored, and trained on, at once; bounds memory.
+BLOCK_CHUNKS, TRAIN_BLOCK = 64, 512
 
 
 @dataclass
@@ -134,9 +133,8 @@ def train(texts: list[bytes | None], labels: list[int], seed: int = 7) -> Networ
         order = rng.permutation(len(y))
         for first in range(0, len(order), BATCH):
             picked = order[first:first + BATCH]
-            drawn = [rng.permutation(len(all_chunks[i]))[:TRAIN_CHUNKS] for i in picked]
-            block = np.concatenate([all_chunks[i][d] for i, d in zip(picked, drawn, strict=True)])
-            grads = _gradients(block, np.array([len(d) for d in drawn]), y[picked], w)
+            block = np.concatenate([all_chunks[i] for i in picked])
+            grads = _gradients(block, np.array([len(all_chunks[i]) for i in picked]), y[picked], w)
             step += 1
             rate = RATE * (1 - (step - 1) / steps) + 1e-5
             for k, g in grads.items():
@@ -152,7 +150,8 @@ def train(texts: list[bytes | None], labels: list[int], seed: int = 7) -> Networ
 def _gradients(block: np.ndarray, counts: np.ndarray, y: np.ndarray, w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Of the mean cross-entropy of texts whose chunks follow each other in ``block``."""
     trace: dict = {}
-    tops = pooled(block, w, trace)
+    slices = [slice(at, at + TRAIN_BLOCK) for at in range(0, len(block), TRAIN_BLOCK)]
+    tops = pooled(block, w, trace) if len(slices) == 1 else np.concatenate([pooled(block[own], w) for own in slices])
     starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
     largest = np.maximum.reduceat(tops, starts, axis=0)
     mean = np.add.reduceat(tops, starts, axis=0) / counts[:, None]
@@ -169,6 +168,16 @@ def _gradients(block: np.ndarray, counts: np.ndarray, y: np.ndarray, w: dict[str
     ties = np.add.reduceat(is_largest, starts, axis=0)
     d_tops = d_features[text_of, :n] * is_largest / ties[text_of] + d_features[text_of, n:] / counts[text_of, None]
     d_tops = (d_tops * (tops > 0)).astype(np.float32)
+    grads |= {k: np.zeros_like(w[k]) for k in ("embed", "filters", "bias", "lag_filters", "lag_bias")}
+    for own in slices:
+        if len(slices) > 1:
+            trace = {}
+            pooled(block[own], w, trace)
+        _add_filter_gradients(block[own], d_tops[own], trace, w, grads)
+    return grads
+
+
+def _add_filter_gradients(block: np.ndarray, d_tops: np.ndarray, trace: dict, w: dict, grads: dict) -> None:
     at = 0
     for filters, bias in (("filters", "bias"), ("lag_filters", "lag_bias")):
         view, best, top = trace[filters]
@@ -176,16 +185,13 @@ def _gradients(block: np.ndarray, counts: np.ndarray, y: np.ndarray, w: dict[str
         at += top.shape[1]
         # only the window of the largest response passes its gradient on
         seen = view[np.arange(len(block))[:, None], best]  # chunk, filter, inputs
-        grads[filters] = np.einsum("cf,cfi->if", own, seen)
-        grads[bias] = own.sum(axis=0)
+        grads[filters] += np.einsum("cf,cfi->if", own, seen)
+        grads[bias] += own.sum(axis=0)
         if filters == "filters":
             d_inputs = own[:, :, None] * w[filters].T[None]  # chunk, filter, inputs
             places = best[:, :, None] * STRIDE + np.arange(WIDTH)
             read = block[np.arange(len(block))[:, None, None], places]
-            d_embed = np.zeros_like(w["embed"])
-            np.add.at(d_embed, read.ravel(), d_inputs.reshape(-1, EMBED))
-            grads["embed"] = d_embed
-    return grads
+            np.add.at(grads["embed"], read.ravel(), d_inputs.reshape(-1, EMBED))
 
 
 def training_rows(
@@ -194,23 +200,14 @@ def training_rows(
 ) -> tuple[list[bytes | None], list[int]]:
     """Texts and labels of the sample: rows that are not held out, by smallest hash of the id, ``sample_rows`` at most.
 
-    A text sends at most ``SENT_PIECES`` pieces of ``CHUNK`` bytes to the driver, spread evenly over all of it; shorter
-    texts come whole.
+    Of rows with one id the smallest text counts.
     """
     known = labels.where(F.col(label).isin(0, 1)).groupBy(doc_id).agg(F.min(label).alias("label"))
     known = known.where(~held_out(F.col(doc_id))).orderBy(F.xxhash64(doc_id), doc_id).limit(sample_rows)
-    body = F.col(text).cast("binary")
-    step = F.greatest(F.lit(CHUNK), F.floor(F.length(body) / SENT_PIECES)).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.lit(SENT_PIECES - 1)), lambda i: F.substring(body, (i * step + 1).cast("int"), F.lit(CHUNK))
-    )
-    found = docs.select(doc_id, text).join(F.broadcast(known), doc_id)  # at most sample_rows rows
-    rows = found.select(doc_id, pieces.alias("pieces"), "label").dropDuplicates([doc_id]).orderBy(doc_id).select("pieces", "label").collect()
-    return [b"".join(bytes(p) for p in r["pieces"] or ()) for r in rows], [r["label"] for r in rows]
-
-
-#: Pieces of CHUNK bytes that a training text sends to the driver at most.
-SENT_PIECES = 16
+    found = docs.select(doc_id, F.col(text).cast("binary").alias("body")).join(F.broadcast(known), doc_id)
+    one = found.groupBy(doc_id).agg(F.min("body").alias("body"), F.first("label").alias("label"))  # sample_rows at most
+    rows = one.orderBy(doc_id).select("body", "label").collect()
+    return [None if r["body"] is None else bytes(r["body"]) for r in rows], [r["label"] for r in rows]
 
 
 def held_out(key) -> F.Column:
@@ -218,8 +215,11 @@ def held_out(key) -> F.Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Network:
-    return train(*training_rows(docs, labels, doc_id, text, label))
+def fit(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+    sample_rows: int = SAMPLE_ROWS,
+) -> Network:
+    return train(*training_rows(docs, labels, doc_id, text, label, sample_rows))
 
 
 def with_score(docs: DataFrame, network: Network, text: str = "text", out: str = "score") -> DataFrame:
