@@ -192,9 +192,10 @@ def kept(rules: list[Rule], stats: str = "stats") -> Column:
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without those that fail the base or a rule learned from ``labels``."""
-    some = docs.join(labels.select(key).distinct(), key, "left_semi")
-    rules = learn_rules(label_stats(labels, with_stats(some.select(key, text), text), key=key), key=key, **options)
     out = "stats"
     while out in docs.columns:
         out += "_"
-    return with_stats(docs, text, out).where(kept(rules, out)).drop(out)
+    # statistics are computed once: rules are learned from the narrow columns of this table, then it is filtered
+    staged = cut_lineage(with_stats(docs, text, out))
+    rules = learn_rules(label_stats(labels, staged.select(key, F.col(out).alias("stats")), key=key), key=key, **options)
+    return staged.where(kept(rules, out)).drop(out)
