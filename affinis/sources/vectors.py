@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from affinis.session import scratch_path
+
 
 def parse_map(line: str | Column) -> Column:
     """A weighted line as ``map<string,double>``; a repeated key keeps its last weight.
@@ -111,15 +113,23 @@ def sparse_rows(encoded: DataFrame, id: str, index: str, value: str) -> DataFram
 
 
 def with_vector(rows: DataFrame, size: int, name: str = "features") -> DataFrame:
-    """Adds an ML vector column to sparse rows, without leaving the JVM."""
+    """Sparse rows with an ML vector column, as a table in the shared folder.
+
+    A vector's stored form is a struct of kind, size, indices and values: rows are written with that and read
+    back as vectors, without a step per row in between.
+    """
     from pyspark.ml.linalg import VectorUDT
     from pyspark.sql import types as T
 
-    fields = F.struct(
-        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values"
+    spark = rows.sparkSession
+    path = scratch_path(spark, "vectors")
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+        F.col("indices").cast("array<int>").alias("indices"), F.col("values").cast("array<double>").alias("values"),
     )
-    schema = T.StructType([T.StructField("v", VectorUDT())])
-    return rows.withColumn(name, F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"])
+    rows.withColumn(name, stored).write.parquet(path)
+    others = [field for field in rows.schema.fields if field.name != name]
+    return spark.read.schema(T.StructType([*others, T.StructField(name, VectorUDT())])).parquet(path)
 
 
 def export_sparse(
