@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from affinis.operators.dictionary import dictionary
 from affinis.operators.joins import grid_join
-from affinis.operators.neighbours import neighbours
+from affinis.operators.neighbours import nearest_holders, neighbours
 from affinis.operators.pairs import (
     centred,
-    centred_cosine,
     directed,
     pair_stats,
     similarity_table,
@@ -173,34 +172,22 @@ def _centred_prediction(neighbours: DataFrame, means: DataFrame) -> DataFrame:
     )
 
 
-def user_user_predict(
-    ratings: DataFrame, targets: DataFrame, k: int = 30, all_users: bool = False
-) -> DataFrame:
+def user_user_predict(ratings: DataFrame, targets: DataFrame, k: int = 30, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Ratings predicted from the ``k`` most similar users who rated the item.
 
     Every rater of the item is a candidate; one who shares nothing with the user has
-    similarity 0 and may take a place. ``all_users=True`` suits targets that cover most
-    users: the similarity table is then built once per unordered pair.
+    similarity 0 and may take a place.
     """
     rows = centred(ratings)
-    wanted = targets.select(*PAIR).distinct()
-    users = None if all_users else wanted.select("user_id")
-    sims = centred_cosine(rows, "user", users).select(
-        F.col("a").alias("user_id"), F.col("b").alias("other"), F.col("score").alias("sim")
-    )
-    raters = rows.select("item_id", F.col("user_id").alias("other"), F.col("centred").alias("deviation"))
-    candidates = grid_join(wanted, raters, ["item_id"], "user_id", "other").filter(
-        F.col("user_id") != F.col("other")
-    )
-    scored = candidates.join(sims, ["user_id", "other"], "left").withColumn(
-        "sim", F.coalesce("sim", F.lit(0.0))
+    near = nearest_holders(
+        rows.select(F.col("user_id").alias("id"), F.col("item_id").alias("key"), F.col("centred").alias("value")),
+        targets.select(F.col("user_id").alias("id"), F.col("item_id").alias("key")), k, block_rows,
     )
-    return _centred_prediction(top_k(scored, PAIR, "sim", ["other"], k), user_means(ratings))
+    neighbours_of = near.select(F.col("id").alias("user_id"), F.col("key").alias("item_id"), "sim", F.col("value").alias("deviation"))
+    return _centred_prediction(neighbours_of, user_means(ratings))
 
 
-def item_item_predict(
-    ratings: DataFrame, targets: DataFrame, k: int = 20, all_items: bool = False
-) -> DataFrame:
+def item_item_predict(ratings: DataFrame, targets: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Ratings predicted from the user's ``k`` rated items nearest to the target item.
 
     Non-positive ratings count as missing. Items whose centred ratings are all 0 have no
@@ -210,21 +197,14 @@ def item_item_predict(
     defined = rows.groupBy("item_id").agg(
         F.sum(F.col("centred") * F.col("centred")).alias("_ss")
     ).filter(F.col("_ss") > 0).select("item_id")
-    rows_defined = rows.join(defined, "item_id", "left_semi")
-    wanted = targets.select(*PAIR).distinct().join(defined, "item_id", "left_semi")
-    items = None if all_items else wanted.select("item_id")
-    sims = centred_cosine(rows, "item", items).select(
-        F.col("a").alias("item_id"), F.col("b").alias("other"), F.col("score").alias("sim")
-    )
-    rated = rows_defined.select("user_id", F.col("item_id").alias("other"), F.col("centred").alias("deviation"))
-    candidates = grid_join(wanted, rated, ["user_id"], "item_id", "other").filter(
-        F.col("item_id") != F.col("other")
-    )
-    scored = candidates.join(sims, ["item_id", "other"], "left").withColumn(
-        "sim", F.coalesce("sim", F.lit(0.0))
+    near = nearest_holders(
+        rows.join(defined, "item_id", "left_semi").select(
+            F.col("item_id").alias("id"), F.col("user_id").alias("key"), F.col("centred").alias("value")
+        ),
+        targets.select(F.col("item_id").alias("id"), F.col("user_id").alias("key")), k, block_rows,
     )
-    means = user_means(ratings.filter(F.col("rating") > 0))
-    return _centred_prediction(top_k(scored, PAIR, "sim", ["other"], k), means)
+    neighbours_of = near.select(F.col("key").alias("user_id"), F.col("id").alias("item_id"), "sim", F.col("value").alias("deviation"))
+    return _centred_prediction(neighbours_of, user_means(ratings.filter(F.col("rating") > 0)))
 
 
 def _rated_neighbours(ratings: DataFrame, sims: DataFrame) -> DataFrame:

@@ -83,43 +83,73 @@ class Meeting:
     squares: float
 
 
-def meetings(cell: pa.Table, itself: bool) -> Iterator[Meeting]:
-    """Every query of a cell that shares a key with an answer; an id is no answer to itself if ``itself``."""
-    kinds = cell.column("kind").to_numpy()
-    postings, asked, barred = (cell.filter(pa.array(kinds == k)) for k in range(3))
-    others, other_at = np.unique(postings.column("other").to_numpy(), return_inverse=True)
-    names = postings.column("key").combine_chunks().dictionary_encode()
-    codes = names.indices.to_numpy()
-    order = np.argsort(codes, kind="stable")
-    other_at, impact = other_at[order], postings.column("value").to_numpy()[order]
-    bounds = np.concatenate(([0], np.cumsum(np.bincount(codes, minlength=len(names.dictionary)))))
-    key = pc.fill_null(pc.index_in(asked.column("key").combine_chunks(), value_set=names.dictionary), -1).to_numpy()
-    ids, at = np.unique(asked.column("query").to_numpy(), return_inverse=True)
+class Cell:
+    """The rows of a cell as arrays: postings by key, and its queries.
+
+    ``others`` are the answers in order; entries ``bounds[c]`` to ``bounds[c + 1]`` of ``other_at`` (places in
+    ``others``) and ``impact`` are the postings of key number ``c``.
+    """
+
+    def __init__(self, table: pa.Table):
+        kinds = table.column("kind").to_numpy()
+        postings, self._asked, self._barred = (table.filter(pa.array(kinds == k)) for k in range(3))
+        self.others, other_at = np.unique(postings.column("other").to_numpy(), return_inverse=True)
+        names = postings.column("key").combine_chunks().dictionary_encode()
+        codes = names.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        self._names = names.dictionary
+        self.other_at, self.impact = other_at[order], postings.column("value").to_numpy()[order]
+        self.bounds = np.concatenate(([0], np.cumsum(np.bincount(codes, minlength=len(self._names)))))
+
+    def key_codes(self, rows: pa.Table) -> np.ndarray:
+        """Key numbers of rows, -1 for a key that no answer has."""
+        return pc.fill_null(pc.index_in(rows.column("key").combine_chunks(), value_set=self._names), -1).to_numpy()
+
+    def queries(self) -> Iterator[tuple[object, np.ndarray, np.ndarray]]:
+        """Every query with the key numbers and values of all its rows."""
+        yield from by_query(self._asked, self.key_codes(self._asked), self._asked.column("value").to_numpy())
+
+    def bars(self) -> dict:
+        out: dict = {}
+        for query, other in zip(self._barred.column("query").to_pylist(), self._barred.column("other").to_pylist(), strict=True):
+            out.setdefault(query, []).append(other)
+        return out
+
+    def entries(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Postings of key numbers, one key after the other, and how many each has."""
+        first, length = self.bounds[keys], self.bounds[keys + 1] - self.bounds[keys]
+        shift = np.concatenate(([0], np.cumsum(length)))
+        return np.repeat(first - shift[:-1], length) + np.arange(shift[-1]), length
+
+
+def by_query(rows: pa.Table, *columns: np.ndarray) -> Iterator[tuple]:
+    """The parts of columns that belong to each query of a cell."""
+    ids, at = np.unique(rows.column("query").to_numpy(), return_inverse=True)
     order = np.argsort(at, kind="stable")
-    key, weight = key[order], asked.column("value").to_numpy()[order]
     ends = np.cumsum(np.bincount(at, minlength=len(ids)))
-    bars: dict = {}
-    for query, other in zip(barred.column("query").to_pylist(), barred.column("other").to_pylist(), strict=True):
-        bars.setdefault(query, []).append(other)
     for number, end in enumerate(ends):
-        own = slice(ends[number - 1] if number else 0, end)
-        known = key[own] >= 0
-        keys, values = key[own][known], weight[own][known]
-        first, length = bounds[keys], bounds[keys + 1] - bounds[keys]
-        shift = np.concatenate(([0], np.cumsum(length)))
-        rows = np.repeat(first - shift[:-1], length) + np.arange(shift[-1])
-        met = other_at[rows]
-        is_met = np.bincount(met, minlength=len(others)) > 0
-        query = ids[number]
+        own = order[ends[number - 1] if number else 0:end]
+        yield ids[number], *(column[own] for column in columns)
+
+
+def meetings(table: pa.Table, itself: bool) -> Iterator[Meeting]:
+    """Every query of a cell that shares a key with an answer; an id is no answer to itself if ``itself``."""
+    cell = Cell(table)
+    bars = cell.bars()
+    for query, keys, values in cell.queries():
+        known = keys >= 0
+        rows, length = cell.entries(keys[known])
+        met = cell.other_at[rows]
+        is_met = np.bincount(met, minlength=len(cell.others)) > 0
         for bar in [query] if itself else bars.get(query.item() if hasattr(query, "item") else query, ()):
-            place = np.searchsorted(others, bar)
-            if place < len(others) and others[place] == bar:
+            place = np.searchsorted(cell.others, bar)
+            if place < len(cell.others) and cell.others[place] == bar:
                 is_met[place] = False
         found = np.flatnonzero(is_met)
         if len(found):
             yield Meeting(
-                query, others, found, met, np.repeat(values, length), impact[rows],
-                int(end - own.start), float((weight[own] ** 2).sum()),
+                query, cell.others, found, met, np.repeat(values[known], length), cell.impact[rows],
+                len(keys), float((values ** 2).sum()),
             )
 
 
@@ -146,11 +176,12 @@ def _best_in_cell(cell: pa.Table, n: int, itself: bool) -> tuple[list, list, lis
 
 def in_blocks(
     pairs: DataFrame, queries: DataFrame, placed: DataFrame, work: Callable[[pa.Table], tuple[list, ...]],
-    exclude: DataFrame | None, block_rows: int, counts: tuple[str, ...] = (),
+    exclude: DataFrame | None, block_rows: int, counts: tuple[str, ...] = (), asks: DataFrame | None = None,
 ) -> DataFrame:
     """``(query, other, score, *counts)``: what ``work`` finds in the cells of ``pairs(query, block)``.
 
-    A cell holds one block and as many queries as have about ``block_rows`` keys.
+    A cell holds one block and as many queries as have about ``block_rows`` keys. With ``asks(query, key)`` the cells hold
+    these too, and the result has columns ``key`` and ``value`` instead of ``counts``.
     """
     asked = pairs.join(queries, "query")
     sizes = asked.groupBy("block").agg(F.ceil(F.count("*") / block_rows).alias("chunks"))
@@ -171,17 +202,20 @@ def in_blocks(
         rows = rows.unionByName(barred.join(pairs, ["query", "block"]).join(sizes, "block").select(
             "block", chunk, F.lit(2).alias("kind"), "query", "other", none(key_type, "key"), none("double", "value"),
         ))
+    more = [StructField(c, LongType()) for c in counts]
+    if asks is not None:
+        rows = rows.unionByName(asks.join(pairs, "query").join(sizes, "block").select(
+            "block", chunk, F.lit(3).alias("kind"), "query", none(other_type, "other"), "key", none("double", "value"),
+        ))
+        more = [StructField("key", key_type), StructField("value", DoubleType())]
     schema = StructType([
-        StructField("query", query_type), StructField("other", other_type), StructField("score", DoubleType()),
-        *[StructField(c, LongType()) for c in counts],
+        StructField("query", query_type), StructField("other", other_type), StructField("score", DoubleType()), *more,
     ])
 
     def found(cell: pa.Table) -> pa.Table:
-        types = cell.schema.field("query").type, cell.schema.field("other").type, pa.float64(), *[pa.int64()] * len(counts)
-        columns = work(cell)
-        return pa.table(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query", "other", "score", *counts]
-        )
+        own = {"score": pa.float64()} | {c: pa.int64() for c in counts}
+        types = [own[name] if name in own else cell.schema.field(name).type for name in schema.names]
+        return pa.table([pa.array(c, t) for c, t in zip(work(cell), types, strict=True)], names=schema.names)
 
     return rows.groupBy("block", "chunk").applyInArrow(found, schema)
 

@@ -139,12 +139,12 @@ def _predictions(df, column="prediction"):
 
 def user_user_predict(spark, sf):
     rows = V.ratings(spark, sf)
-    return _predictions(R.user_user_predict(rows, rows, 30, all_users=True))
+    return _predictions(R.user_user_predict(rows, rows, 30))
 
 
 def item_item_predict(spark, sf):
     rows = V.ratings(spark, sf)
-    return _predictions(R.item_item_predict(rows, rows, 20, all_items=True))
+    return _predictions(R.item_item_predict(rows, rows, 20))
 
 
 def _ranked(df):

@@ -95,17 +95,17 @@ def test_user_based_nearest_two(intro):
     assert [r["item_id"] for r in top] == [104]
 
 
-@pytest.mark.parametrize("everyone", [False, True])
-def test_user_user_prediction(spark, intro, everyone):
+@pytest.mark.parametrize("block_rows", [1, 4, 100])
+def test_user_user_prediction(spark, intro, block_rows):
     targets = spark.createDataFrame([(1, i) for i in (104, 105, 106, 107)], "user_id bigint, item_id bigint")
-    got = as_dict(R.user_user_predict(intro, targets, 30, everyone), ["item_id"], "prediction")
+    got = as_dict(R.user_user_predict(intro, targets, 30, block_rows), ["item_id"], "prediction")
     assert got == near({104: 3.963789, 105: 3.313336, 106: 3.699807, 107: 2.5})
 
 
-@pytest.mark.parametrize("everything", [False, True])
-def test_item_item_prediction(spark, intro, everything):
+@pytest.mark.parametrize("block_rows", [1, 4, 100])
+def test_item_item_prediction(spark, intro, block_rows):
     targets = spark.createDataFrame([(1, i) for i in (104, 105, 106, 107)], "user_id bigint, item_id bigint")
-    got = as_dict(R.item_item_predict(intro, targets, 20, everything), ["item_id"], "prediction")
+    got = as_dict(R.item_item_predict(intro, targets, 20, block_rows), ["item_id"], "prediction")
     assert got == near({104: 4.566013, 105: 2.527618, 106: 4.320462, 107: 2.0})
 
 
