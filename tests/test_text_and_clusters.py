@@ -44,6 +44,22 @@ def test_sparse_points_equal_dense(spark, nine):
         assert a == pytest.approx(b)
 
 
+def test_points_without_a_vector(spark, nine):
+    odd = [[None, 1.0], [float("nan"), 1.0], [1.0], None]
+    rows = nine.unionByName(spark.createDataFrame([(90 + i, v) for i, v in enumerate(odd)], nine.schema)).repartition(2)
+    start = [(0, np.array([1.0, 1.0])), (1, np.array([9.0, 9.0]))]
+    for run in (K.kmeans, K.fuzzy_kmeans):
+        for (_, a), (_, b) in zip(run(rows, start), run(nine, start), strict=True):
+            assert list(a) == pytest.approx(list(b))
+    got = {r["id"]: (r["cluster_id"], r["distance"]) for r in K.assign(rows, start).collect()}
+    assert all(got[90 + i] == (0, None) for i in range(4)) and got[8] == (1, 0.0) and len(got) == 13
+    assert [list(c) for _, c in K.seed_centres(rows, 20)] == [list(c) for _, c in K.seed_centres(nine, 20)]
+    assert K.memberships(rows, start).count() == 18
+    assert {r["id"] for r in B.dense_points(rows).collect()} == {*range(9), 92}
+    found = as_dict(K.ml_kmeans(rows.filter("id <> 92"), 2), ["id"], "cluster_id")
+    assert len(found) == 12 and all((found[i] is None) == (i >= 90) for i in found)
+
+
 def test_memberships_sum_to_one(nine):
     start = [(0, np.array([1.0, 1.0])), (1, np.array([9.0, 9.0]))]
     rows = K.memberships(nine, start)
