@@ -19,7 +19,7 @@ from affinis.functions.text import (
     words,
 )
 from affinis.operators.tfidf import term_counts, tfidf
-from affinis.session import cut_lineage
+from affinis.session import by_id, cut_lineage
 
 
 def analyzed_tokens(docs: DataFrame, id: str = "doc_id", stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
@@ -121,6 +121,6 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def sentence_words(docs: DataFrame, id: str = "doc_id") -> DataFrame:
-    """``(id, sentence, position, word)`` by Spark's locale-aware sentence splitter."""
-    split = docs.select(id, F.posexplode(F.sentences(F.col("text"))).alias("sentence", "_words"))
+    """``(id, sentence, position, word)`` by Spark's locale-aware sentence splitter, dealt out by id."""
+    split = by_id(docs, id).select(id, F.posexplode(F.sentences(F.col("text"))).alias("sentence", "_words"))
     return split.select(id, "sentence", F.posexplode("_words").alias("position", "word"))

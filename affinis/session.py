@@ -73,6 +73,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
+def by_id(df: DataFrame, id: str) -> DataFrame:
+    """Rows dealt out by their id, for texts that are taken apart and summed per id: their pieces need no shuffle then.
+
+    The partitions are as many as the session's, also where Spark would merge small ones: a text's pieces are far more
+    than the text.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), id)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder.
 

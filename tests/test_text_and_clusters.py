@@ -208,3 +208,10 @@ def test_sentence_words(spark):
     df = spark.createDataFrame([(1, "Hello there. Good day!")], "doc_id bigint, text string")
     rows = [(r["sentence"], r["position"], r["word"]) for r in X.sentence_words(df).orderBy("sentence", "position").collect()]
     assert rows == [(0, 0, "Hello"), (0, 1, "there"), (1, 0, "Good"), (1, 1, "day")]
+
+
+def test_words_of_a_text_are_not_shuffled_again(spark):
+    rows = spark.createDataFrame([(i, "One two. Three four five.") for i in range(20)], "doc_id bigint, text string")
+    said = X.sentence_words(rows).groupBy("doc_id", "sentence").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    assert said._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["n"] for r in said.collect()} == {3}
