@@ -13,9 +13,19 @@ def one_line(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "\r?\n\\z", ""), "\r?\n", " ")
 
 
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [str(status.getPath()) for status in found if status.isDirectory()]
+
+
 def load_labelled_docs(spark: SparkSession, root: str) -> DataFrame:
-    """``(label, path, text)`` of ``root/label/file``."""
-    files = spark.read.text(f"{root.rstrip('/')}/*/*", wholetext=True)
+    """``(label, path, text)`` of ``root/label/file``.
+
+    The folders are named, not their files: Spark would open a listing task for every file of a pattern.
+    """
+    folders = _folders(spark, root) or [f"{root.rstrip('/')}/*/*"]
+    files = spark.read.option("recursiveFileLookup", "true").text(folders, wholetext=True)
     path = F.col("_metadata.file_path")
     return files.select(
         F.regexp_extract(path, "([^/]+)/[^/]+$", 1).alias("label"), path.alias("path"),
