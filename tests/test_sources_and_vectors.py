@@ -228,3 +228,14 @@ def test_logistic_model_files(spark, tmp_path):
     C.save_classifier(indexer, model, str(tmp_path / "m"))
     again = C.apply_logistic(hashed, *C.load_classifier(str(tmp_path / "m")))
     assert again.filter("label = predicted").count() == 40
+
+
+def test_labelled_folders_are_listed_not_their_files(spark, tmp_path):
+    for label in ("x", "y"):
+        (tmp_path / label).mkdir()
+        for i in range(5):
+            (tmp_path / label / f"{i}.txt").write_text(f"{label}{i}\n")
+    (tmp_path / "beside.txt").write_text("in no folder")
+    df = docs.load_labelled_docs(spark, str(tmp_path))
+    assert "InMemoryFileIndex(2 paths)" in df._jdf.queryExecution().executedPlan().toString()
+    assert {(r["label"], r["text"]) for r in df.collect()} == {(x, f"{x}{i}") for x in "xy" for i in range(5)}
