@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.operators.pairs import distinct_total
+from affinis.session import cut_lineage
 
 
 def item_frequency(basket_items: DataFrame) -> DataFrame:
@@ -20,9 +21,13 @@ def baskets(basket_items: DataFrame) -> DataFrame:
 
 def frequent_itemsets(basket_items: DataFrame, min_support: float) -> DataFrame:
     """``(items, freq)`` by parallel FP-growth; items sorted."""
+    return _itemsets(baskets(basket_items), min_support)
+
+
+def _itemsets(sets: DataFrame, min_support: float) -> DataFrame:
     from pyspark.ml.fpm import FPGrowth
 
-    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets(basket_items))
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(sets)
     return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
 
 
@@ -58,10 +63,14 @@ def association_rules(
 def rules_for(
     basket_items: DataFrame, min_support: float, confidence: str = "consequent"
 ) -> DataFrame:
-    """Rules straight from baskets. ``basket_items`` is read several times and should be a table."""
+    """Rules straight from baskets.
+
+    Baskets and itemsets are tables: what is counted in both is read from them, and no itemset is found twice.
+    """
+    sets = cut_lineage(baskets(basket_items))
     return association_rules(
-        frequent_itemsets(basket_items, min_support), item_frequency(basket_items),
-        distinct_total(basket_items, "basket_id"), confidence,
+        cut_lineage(_itemsets(sets, min_support)), item_frequency(sets.select(F.explode("items").alias("item"))),
+        distinct_total(sets, "basket_id"), confidence,
     )
 
 

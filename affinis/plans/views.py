@@ -115,9 +115,9 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct ``(basket_id, item)``: the brands of an order."""
+    """Distinct ``(basket_id, item)``: the brands of an order, dealt out by basket."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
         F.col("l_orderkey").alias("basket_id"), F.col("p_brand").alias("item")
-    ).distinct()
+    ).repartition("basket_id").distinct()
