@@ -81,8 +81,8 @@ def message_text(text_lines: Column) -> Column:
         F.lit(0),
     )
     first = F.get(starts, F.lit(0))
-    body = F.when(first.isNotNull(), F.slice(text_lines, first + 1, F.size(text_lines)))
-    return F.array_join(F.concat(values, F.coalesce(body, F.array().cast("array<string>"))), "\n")
+    body = F.slice(text_lines, F.coalesce(first, F.size(text_lines)) + 1, F.size(text_lines))
+    return F.array_join(F.concat(values, body), "\n")
 
 
 def adjacent_pairs(tokens: Column) -> Column:

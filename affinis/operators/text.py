@@ -24,7 +24,8 @@ from affinis.session import by_id, cut_lineage
 
 def analyzed_tokens(docs: DataFrame, id: str = "doc_id", stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """``(id, token, n)``: analyzed words of each document."""
-    tokens = docs.select(id, F.explode(analyze(F.col("text"), stop_words)).alias("token"))
+    own = by_id(docs.select(id, "text"), id)
+    tokens = own.select(id, F.explode(analyze(F.col("text"), stop_words)).alias("token"))
     return term_counts(tokens, id, "token")
 
 
@@ -51,14 +52,16 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
 
 def message_words(messages: DataFrame, id: str = "doc_id") -> DataFrame:
     """``(id, word, n)``: words of the header values and of the body."""
-    text = message_text(lines(F.col("text")))
-    return term_counts(messages.select(id, F.explode(words(text)).alias("word")), id, "word")
+    # Each step stands on its own: what is read several times inside a row is computed once.
+    split = by_id(messages.select(id, "text"), id).select(id, lines(F.col("text")).alias("_lines"))
+    counted = split.select(id, message_text(F.col("_lines")).alias("_text"))
+    return term_counts(counted.select(id, F.explode(words(F.col("_text"))).alias("word")), id, "word")
 
 
 def message_features(messages: DataFrame, id: str = "doc_id") -> DataFrame:
     """``(id, feature, value)``: intercept, line counts, and ``log(1 + count)`` per word."""
-    count = F.size(lines(F.col("text")))
-    shape = messages.select(
+    count = F.col("_count")
+    shape = messages.select(id, F.size(lines(F.col("text"))).alias("_count")).select(
         id,
         F.inline(F.array(
             F.struct(F.lit("intercept").alias("feature"), F.lit(1.0).alias("value")),
@@ -74,7 +77,8 @@ def message_features(messages: DataFrame, id: str = "doc_id") -> DataFrame:
 
 def bigrams(docs: DataFrame, min_count: int = 2, min_llr: float = 50.0) -> DataFrame:
     """``(first, second, n, llr)``: neighbouring words that come together more than by chance."""
-    pairs = docs.select(F.inline(adjacent_pairs(analyze(F.col("text")))))
+    # The words are read several times inside a row: a step of its own, the text is analyzed once.
+    pairs = docs.select(analyze(F.col("text")).alias("_words")).select(F.inline(adjacent_pairs(F.col("_words"))))
     # Read four times below: counted once, the texts are analyzed once.
     counts = cut_lineage(pairs.groupBy("first", "second").agg(F.count("*").alias("n")))
     heads = counts.groupBy("first").agg(F.sum("n").alias("n_first"))
@@ -95,7 +99,8 @@ def term_table(docs: DataFrame, kept_bigrams: DataFrame | None = None, id: str =
     counts = analyzed_tokens(docs, id)
     if kept_bigrams is None:
         return counts
-    pairs = docs.select(id, F.inline(adjacent_pairs(analyze(F.col("text")))))
+    words_of = by_id(docs.select(id, "text"), id).select(id, analyze(F.col("text")).alias("_words"))
+    pairs = words_of.select(id, F.inline(adjacent_pairs(F.col("_words"))))
     kept = pairs.groupBy(id, "first", "second").agg(F.count("*").alias("n")).join(
         kept_bigrams.select("first", "second"), ["first", "second"], "left_semi"
     )

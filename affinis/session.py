@@ -73,13 +73,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
-def by_id(df: DataFrame, id: str) -> DataFrame:
+def by_id(df: DataFrame, id: str, rows: int = 5_000) -> DataFrame:
     """Rows dealt out by their id, for texts that are taken apart and summed per id: their pieces need no shuffle then.
 
     The partitions are as many as the session's, also where Spark would merge small ones: a text's pieces are far more
-    than the text.
+    than the text. A larger table gets more, of about ``rows`` rows each, so that a task's pieces stay as many.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), id)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-df.count() // rows)), id)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
