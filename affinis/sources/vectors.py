@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from affinis.session import scratch_path
+from affinis.session import cut_lineage, scratch_path
 
 
 def parse_map(line: str | Column) -> Column:
@@ -132,6 +132,11 @@ def with_vector(rows: DataFrame, size: int, name: str = "features") -> DataFrame
     return spark.read.schema(T.StructType([*others, T.StructField(name, VectorUDT())])).parquet(path)
 
 
+def stored_values(vector: str) -> Column:
+    """The entries that a sparse vector stores, whatever its size: those of all dimensions are never laid out."""
+    return F.unwrap_udt(vector)["values"]
+
+
 def export_sparse(
     labels: DataFrame, vectors: DataFrame, id: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -142,16 +147,25 @@ def export_sparse(
     from affinis.operators.dictionary import dictionary, encode
 
     label_ids = dictionary(labels, "label", "label_id")
-    feature_ids = dictionary(vectors, "key", "index")
-    rows = encode(unit_rows(vectors, id, "weight"), feature_ids, "key")
     named = encode(labels.select(id, "label"), label_ids, "label")
-    encoded = rows.join(named, id).select(id, "label_id", "index", F.col("weight").alias("value"))
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id)))
+    # Norms and labels join the rows where an id's rows are together; then they travel by key alone.
+    rows = cut_lineage(vectors.select(id, "key", "weight").withColumn("_norm", norm).join(
+        named.groupBy(id).agg(F.collect_list("label_id").alias("_labels")), id, "left"
+    ))
+    feature_ids = dictionary(rows, "key", "index")
+    encoded = encode(rows.filter((F.col("_norm") > 0) & F.col("_labels").isNotNull()), feature_ids, "key").select(
+        id, F.explode("_labels").alias("label_id"), "index", (F.col("weight") / F.col("_norm")).alias("value")
+    )
     return encoded, label_ids, feature_ids
 
 
 def write_sparse(encoded: DataFrame, size: int, path: str, id: str) -> None:
     """Encoded rows as libsvm text, one line per id."""
-    rows = sparse_rows(encoded, id, "index", "value").join(encoded.select(id, "label_id").distinct(), id)
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("index").cast("int").alias("i"), F.col("value").alias("v"))))
+    rows = encoded.groupBy(id).agg(pairs.alias("_p"), F.collect_set("label_id").alias("_labels")).select(
+        id, F.col("_p.i").alias("indices"), F.col("_p.v").alias("values"), F.explode("_labels").alias("label_id")
+    )
     with_vector(rows, size).select(F.col("label_id").cast("double").alias("label"), "features").write.mode(
         "overwrite"
     ).format("libsvm").save(path)
