@@ -16,13 +16,16 @@ So no sequence needs padding, and only the documents of a few bins of a group ar
 
 Defined results: a document is its ids and the end id; null and empty texts have the end id alone. Repeated rows are
 packed as often as they occur. A text is tokenised between ASCII white space, where the vocabulary's own splitting
-rule always ends a token, so a worker meets each distinct word once; tests hold that against whole texts. A vocabulary
+rule always ends a token, so a worker meets each distinct word once; words of small letters, which the rules leave as they
+are, go to the model alone. Tests hold that against whole texts. A vocabulary
 file has a fixed size of a few MB and goes to the tasks as text.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -117,10 +120,13 @@ def pack_group(lengths: list[int], width: int = WIDTH) -> list[tuple[int, int, i
 #: Bytes that texts are cut at; ASCII capitals fold, as the vocabulary's own normaliser does first of all.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPECIAL = b"<|"  # special tokens are found before folding
-_SIGNS = b".,;:!?"
+#: ASCII signs that may be cut from a word's end; not those of special tokens, nor the apostrophe, which may join letters.
+_SIGNS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _BETWEEN, _JOIN = b"\x01", b" \x01 "
 #: UTF-8 lead bytes of U+00C0 to U+023F: letters, but for two signs.
 _LATIN = range(0xC3, 0xC9)
+#: Words of small letters a to z and U+00DF to U+00FF alone, which the vocabulary's normaliser and splitting rule leave whole.
+_LETTERS = re.compile(rb"(?:[a-z]|\xC3[\x9F-\xB6\xB8-\xBF])+").fullmatch
 
 
 def _head(word: bytes) -> bytes:
@@ -148,22 +154,43 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        # The same model for words of letters: no normaliser, and white space for the splitting rule.
+        parts = json.loads(vocabulary)
+        parts["normalizer"], parts["pre_tokenizer"]["pretokenizers"][0] = None, {"type": "WhitespaceSplit"}
+        self.of_letters = Tokenizer.from_str(json.dumps(parts))
+        names, suffix = parts["model"]["vocab"], parts["model"]["end_of_word_suffix"]
+        self.ends_word = np.zeros(max(names.values()) + 1, bool)
+        self.ends_word[[number for name, number in names.items() if name.endswith(suffix)]] = True
         (self.between,) = self.tokenizer.encode(_BETWEEN.decode(), add_special_tokens=False).ids
 
     def learn(self, words: set[bytes]) -> None:
         """Adds ids of new words; signs after a word are tokenised apart from it, so the word is met once."""
         new = words - self.keys()
         if len(self) + len(new) > CACHED_WORDS:
+            known = {word: self[word] for word in words - new}
             self.clear()
-            new = words
+            self.update(known)
         heads = {word: _head(word) for word in new}
         plain = set(heads.values())
         plain.update(word[len(head):] for word, head in heads.items() if len(head) < len(word))
-        self._tokenise(list(plain - self.keys()))
+        plain -= self.keys()
+        letters = set(filter(_LETTERS, plain))
+        self._tokenise_letters(list(letters))
+        self._tokenise(list(plain - letters))
         for word, head in heads.items():
             if len(head) < len(word):
                 self[word] = self[head] + self[word[len(head):]]
 
+    def _tokenise_letters(self, words: list[bytes]) -> None:
+        """Ids of words of letters, each of which is one token to the rules: its last id alone ends a word."""
+        if not words:
+            return
+        texts = [b" ".join(words[k:k + 64]).decode() for k in range(0, len(words), 64)]
+        found = self.of_letters.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(f.ids, "<u4") for f in found])
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
+        self.update(zip(words, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+
     def _tokenise(self, words: list[bytes]) -> None:
         """Ids of many words a call, told apart by the id of a sign between them that none of them has."""
         encode = self.tokenizer.encode_batch_fast

@@ -116,3 +116,33 @@ def test_few_documents_are_cut():
     whole = Counter(p[0] for p in pieces)
     assert sum(p[2] for p in pieces) == sum(lengths)
     assert sum(n > 1 for at, n in whole.items() if lengths[at] < 2048) < 0.02 * len(lengths)
+
+
+def words_of(text):
+    return sequence_packing.spaced_words(text.encode())
+
+
+def test_words_of_letters_skip_the_rules_with_the_same_ids(whole_ids):
+    letters = ["thetionané", "ßüÿàöø", "a", "ÉtÉ", "x÷y", "×", "naïve%%%", "naïve", "word&&&", "schön)\"", "it's#", "l'", "ét"]
+    signs = [f"{word}{sign}" for word in ("ab", "né", "a1", "'s", "ŉ") for sign in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~<>|'"]
+    signs += [f"ab{a}{b}" for a in "!#'|>_" for b in "!#'|>_"] + ["a<|endoftext|>", "a<|endoftext|>#", "<|x|>%", "#<|startoftext|"]
+    ids = sequence_packing.WordIds(sequence_packing.read_vocabulary(PATH))
+    rules = []
+    whole = ids._tokenise
+    ids._tokenise = lambda words: (rules.extend(words), whole(words))
+    texts = [" ".join(letters), *letters, " ".join(signs), *signs]
+    for text, found in zip(texts, ids.of([t.encode() for t in texts], 1), strict=True):
+        assert found.tolist() == whole_ids(text), text
+    assert not {"thetionané".encode(), "naïve".encode(), "naïve%%%".encode(), b"word"} & set(rules)
+    assert "x÷y".encode() in rules and "×".encode() in rules
+
+
+def test_a_full_store_keeps_the_words_of_the_batch(monkeypatch):
+    monkeypatch.setattr(sequence_packing, "CACHED_WORDS", 6)
+    ids = sequence_packing.WordIds(sequence_packing.read_vocabulary(PATH))
+    ids.learn(set(words_of("one two three four")))
+    met = []
+    whole = ids._tokenise_letters
+    ids._tokenise_letters = lambda words: (met.extend(words), whole(words))
+    ids.learn(set(words_of("three four five six seven")))
+    assert sorted(met) == [b"five", b"seven", b"six"] and b"one" not in ids
