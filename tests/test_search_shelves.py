@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from affinis.operators import neighbours as N
 from affinis.operators import recommend as R
 from affinis.operators import search as X
+from affinis.operators import tags as T
 from affinis.operators.topk import top_k
+from affinis.plans import tag_queries
 from tests.conftest import as_dict
 
 
@@ -56,3 +58,44 @@ def test_few_ids_are_summed_by_joins(spark, monkeypatch):
     n_rows = len(rows) // 4  # more rows than a block, fewer pairs
     assert R.associated_items(ratings, 3, block_rows=n_rows).count() == 27
     assert N.neighbours(ratings, "item", "assoc_advanced", n=3, block_rows=n_rows).count() == 27
+
+
+def content_tables(spark):
+    rng = random.Random(5)
+    ratings = [(u, i, rng.randrange(1, 11) / 2) for u in range(60) for i in range(0, 40, 1 + u % 4) if rng.random() < 0.6]
+    ratings += [(None, 3, 4.0), (None, 8, 1.0), (7, None, 5.0), (90, 3, None), (91, 200, 4.5), (5, 4, 4.0), (5, 4, 4.0)]
+    rows = {(i, f"t{rng.randrange(30)}"): rng.randrange(-2, 9) / 8 for i in range(50) for _ in range(6)}
+    rows |= {(i, "all"): 0.25 for i in range(0, 50, 2)}
+    return (
+        spark.createDataFrame(ratings, "user_id bigint, item_id bigint, rating double"),
+        spark.createDataFrame([(*key, w) for key, w in rows.items()], "item_id bigint, tag string, weight double"),
+    )
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+@pytest.mark.parametrize("asked_rows", [70, 10**6])
+def test_content_lists_equal_those_of_a_profile_table(spark, weighted, asked_rows):
+    ratings, rows = content_tables(spark)
+    plain = T.content_recommend(T.user_profile(ratings, rows, weighted), rows, ratings, 4)
+    found = T.content_lists(ratings, rows, 4, weighted, asked_rows=asked_rows)
+    keys = ["user_id", "rank"]
+    assert found.schema.names == plain.schema.names and found.count() == plain.count() > 200
+    assert as_dict(found, keys, "item_id") == as_dict(plain, keys, "item_id")
+    assert as_dict(found, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
+
+
+def test_content_lists_make_no_table_of_profiles(spark, monkeypatch):
+    """A table of profiles has the tags of all items that a user rated: many times the rows of the ratings."""
+    def fail(*_, **__):
+        raise AssertionError("profiles were made a table")
+
+    monkeypatch.setattr(T, "user_profile", fail)
+    for query in ("content_topn", "content_topn_weighted", "content_topn_filled"):
+        assert tag_queries.QUERIES[query](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_content_lists_of_many_item_rows_are_searched(spark):
+    ratings, rows = content_tables(spark)
+    found, plain = (T.content_lists(ratings, rows, 4, block_rows=size) for size in (20, 10**6))
+    users = lambda df: df.filter("user_id is not null")
+    assert as_dict(users(found), ["user_id", "rank"], "item_id") == as_dict(users(plain), ["user_id", "rank"], "item_id")
