@@ -27,6 +27,16 @@ def test_kmeans_two_groups(nine):
     assert [got[i] for i in range(9)] == [0] * 5 + [1] * 4
 
 
+@pytest.mark.parametrize("run", [K.kmeans, K.fuzzy_kmeans])
+def test_partitions_without_points_move_no_centre(nine, run):
+    """A large file's splits may hold no row group, and so no point."""
+    start = K.seed_centres(nine, 3)
+    want = dict(run(nine.coalesce(1), start, max_iter=2))
+    got = dict(run(nine.coalesce(1).union(nine.filter("id < 0")), start, max_iter=2))
+    for name, centre in want.items():
+        assert list(got[name]) == pytest.approx(list(centre))
+
+
 def test_kmeans_honours_k_and_keeps_empty_clusters(nine):
     centres = K.seed_centres(nine, 3)
     assert len(centres) == 3
