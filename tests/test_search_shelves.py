@@ -46,6 +46,56 @@ def test_a_query_travels_once_whatever_the_number_of_blocks(spark, monkeypatch):
     assert asked == [80]
 
 
+@pytest.mark.parametrize("block_rows", [20, 10**5])
+@pytest.mark.parametrize("positive", [False, True])
+def test_shelves_and_queries_are_packed_once(spark, monkeypatch, block_rows, positive):
+    """Rows of queries and postings are not copied for every shelf and every part of the queries."""
+    def fail(*_, **__):
+        raise AssertionError("rows were sent to cells")
+
+    queries, postings = shelved(spark, ids=400, keys=25)
+    if positive:
+        postings = postings.withColumn("impact", F.abs("impact") + 0.5)
+        queries = queries.filter("q > 0")
+    plain = top_k(X._answers(X._direct(queries, postings), None), ["query"], "score", ["other"], 3)
+    monkeypatch.setattr(X, "in_blocks", fail)
+    monkeypatch.setattr(X, "_GROUP_BYTES", 3_000)  # groups of some shelves
+    found = X.search_top(queries, postings, 3, None, block_rows, shelf_rows=300, asked_rows=500)
+    keys = ["query", "rank"]
+    assert as_dict(found, keys, "other") == as_dict(plain, keys, "other")
+    assert as_dict(found, keys, "score") == pytest.approx(as_dict(plain, keys, "score"))
+
+
+def test_names_as_ids_on_shelves(spark):
+    queries, postings = shelved(spark)
+    named = lambda df, id: df.withColumn(id, F.concat(F.lit("id"), F.col(id)))
+    exclude = spark.createDataFrame([(f"id{i}", f"id{(i * 7) % 80}") for i in range(0, 80, 2)], "query string, other string")
+    queries, postings = named(queries, "query"), named(postings, "other")
+    plain = top_k(X._answers(X._direct(queries, postings), exclude), ["query"], "score", ["other"], 4)
+    found = X.search_top(queries, postings, 4, exclude, 40, 200, 90)
+    assert as_dict(found, ["query", "rank"], "other") == as_dict(plain, ["query", "rank"], "other")
+
+
+@pytest.mark.parametrize("include_rated", [False, True])
+def test_few_neighbours_are_summed_by_user(spark, monkeypatch, include_rated):
+    """A user's rows are shuffled once, not once per neighbour of what the user rated."""
+    def fail(*_, **__):
+        raise AssertionError("ratings were joined with neighbours by item")
+
+    rng = random.Random(3)
+    ratings = [(u, i, rng.randrange(1, 11) / 2) for u in [None, *range(12)] for i in range(20) if rng.random() < 0.4]
+    ratings = spark.createDataFrame([*ratings, (3, None, 2.0), (4, 19, None)], "user_id bigint, item_id bigint, rating double")
+    ratings = ratings.dropDuplicates(["user_id", "item_id"])
+    near = [(i, (i * 3 + k) % 30, k / 4 - 0.25) for i in range(30) for k in range(5)]
+    near = spark.createDataFrame(near, "item_id bigint, other_id bigint, score double")
+    rows = lambda df: sorted((r["user_id"] or -1, r["item_id"] or -1, round(r["score"] or -1.0, 9)) for r in df.collect())
+    monkeypatch.setattr(T, "BROADCAST_ROWS", 0)
+    plain = rows(T.tag_knn_scores(ratings, near, include_rated))
+    monkeypatch.setattr(T, "BROADCAST_ROWS", 10**6)
+    monkeypatch.setattr(T, "grid_join", fail)
+    assert rows(T.tag_knn_scores(ratings, near, include_rated)) == plain and len(plain) > 100
+
+
 def test_few_ids_are_summed_by_joins(spark, monkeypatch):
     """Pairs of few ids with many rows need no copy of the rows for every block."""
     def fail(*_, **__):
