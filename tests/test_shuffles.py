@@ -72,3 +72,16 @@ def test_itemsets_are_found_once(spark):
     rules = U.rules_for(items, 0.5, "antecedent")
     assert "ExistingRDD" not in plan(rules)
     assert {(r["rest"][0], r["item"]): round(r["confidence"], 3) for r in rules.collect()} == {("a", "b"): 66.667, ("b", "a"): 100.0}
+
+
+def test_hashed_rows_shuffle_features_once(spark, monkeypatch):
+    rows = [(d, f"w{k}", 1.0 + d) for d in range(9) for k in range(d, 20)]
+    features = spark.createDataFrame(rows, "doc_id bigint, feature string, value double")
+    labels = spark.createDataFrame([(d, f"l{d % 2}") for d in [*range(8), 3]], "doc_id bigint, label string")
+    plain = C.hashed_rows(features, "doc_id", 40).join(labels, "doc_id")
+    made = []
+    monkeypatch.setattr(C, "with_vector", lambda rows, size: made.append(plan(rows)) or S.with_vector(rows, size))
+    found = C.hashed_rows(features, "doc_id", 40, labels=labels)
+    assert made[0].count("Exchange hashpartitioning(doc_id") <= 2  # of the features, and of the labels
+    got = lambda df: sorted((r["doc_id"], r["label"], r["indices"], r["values"], r["features"].size) for r in df.collect())
+    assert got(found) == got(plain) and len(got(found)) == 9
